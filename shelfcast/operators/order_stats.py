@@ -19,7 +19,7 @@ SKETCH_ACCURACY = 10_000
 
 
 def ordered_counts(df: DataFrame, groups: list[str], value: str, weight: str | None = None) -> DataFrame:
-    """``(groups, value, n, before, total)``: rows with the value, below it, and in the group.
+    """``(groups, value, _n, _before, _total)``: rows with the value, below it, and in the group.
 
     Null values and null group keys are left out. With ``weight`` the rows count
     that much instead of one.
@@ -29,26 +29,26 @@ def ordered_counts(df: DataFrame, groups: list[str], value: str, weight: str | N
     if not groups:
         df = df.withColumn("_all", F.lit(0))
     amount = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
-    counted = df.dropna(subset=[*keys, value]).groupBy(*keys, value).agg(amount.alias("n"))
+    counted = df.dropna(subset=[*keys, value]).groupBy(*keys, value).agg(amount.alias("_n"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = materialise(
         counted.repartitionByRange(parts, *keys, value).withColumn("_part", F.spark_partition_id()),
         "ordered",
     ).df
     # One row per group and range partition: a group has at most `parts` of them.
-    shares = placed.groupBy(*keys, "_part").agg(F.sum("n").alias("_share"))
+    shares = placed.groupBy(*keys, "_part").agg(F.sum("_n").alias("_share"))
     whole = Window.partitionBy(*keys)
     earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = shares.select(
         *keys,
         "_part",
         F.coalesce(F.sum("_share").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_share").over(whole).alias("total"),
+        F.sum("_share").over(whole).alias("_total"),
     )
     inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    running = placed.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    running = placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     return attach(running, offsets, [*keys, "_part"]).select(
-        *groups, value, "n", (F.col("_offset") + F.col("_inside")).alias("before"), "total"
+        *groups, value, "_n", (F.col("_offset") + F.col("_inside")).alias("_before"), "_total"
     )
 
 
@@ -57,12 +57,12 @@ def group_quantile(
 ) -> DataFrame:
     """Linearly interpolated quantile of each group, exact."""
     ordered = ordered_counts(df, groups, value, weight)
-    place = (F.col("total") - 1) * F.lit(float(p))
+    place = (F.col("_total") - 1) * F.lit(float(p))
     low, high = F.floor(place), F.ceil(place)
-    end = F.col("before") + F.col("n")
+    end = F.col("_before") + F.col("_n")
 
     def at(position):
-        return F.max(F.when((F.col("before") <= position) & (position < end), F.col(value)))
+        return F.max(F.when((F.col("_before") <= position) & (position < end), F.col(value)))
 
     picked = ordered.groupBy(*groups).agg(
         at(low).alias("_low"), at(high).alias("_high"), F.max(place - low).alias("_part")
@@ -146,15 +146,15 @@ def _pick(df: DataFrame, brackets: dict) -> dict[int, tuple]:
     for key, (_, low, high, _, _) in brackets.items():
         for position in (low - below.get(key, 0), high - below.get(key, 0)):
             wanted = wanted | (
-                (F.col("id") == key) & (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
+                (F.col("id") == key) & (F.col("_before") <= position) & (position < F.col("_before") + F.col("_n"))
             )
     # At most two rows per bracket come back.
-    rows = ordered.filter(wanted).select("id", "x", "n", "before").collect()
+    rows = ordered.filter(wanted).select("id", "x", "_n", "_before").collect()
     found = {}
     for key, (_, low, high, _, _) in brackets.items():
         pair = []
         for position in (low - below.get(key, 0), high - below.get(key, 0)):
-            hit = [r["x"] for r in rows if r["id"] == key and r["before"] <= position < r["before"] + r["n"]]
+            hit = [r["x"] for r in rows if r["id"] == key and r["_before"] <= position < r["_before"] + r["_n"]]
             pair.append(hit[0] if hit else None)
         found[key] = tuple(pair)
     return found
@@ -175,7 +175,7 @@ def global_mode(df: DataFrame, value: str):
 def pct_rank(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     """Average rank of the value in its group over the number of non-null values; null stays null."""
     ranks = ordered_counts(df.select(group, value), [group], value).select(
-        group, value, ((F.col("before") + (F.col("n") + 1) / 2) / F.col("total")).alias(out)
+        group, value, ((F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_total")).alias(out)
     )
     return attach(df, ranks, [group, value])
 

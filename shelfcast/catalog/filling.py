@@ -8,6 +8,7 @@ from shelfcast.catalog.common import check, near, near_sql, query, view
 from shelfcast.functions import scalar as S
 from shelfcast.operators import impute as I
 from shelfcast.operators.groupstats import group_stats, mean_of, median_of
+from shelfcast.operators.knn import fill_knn, neighbours
 
 K = ["okey", "line"]
 
@@ -233,3 +234,56 @@ def fill_cold_start(spark, d):
         near("mean_visibility", 6).alias("mean_visibility"),
         near("mean_sales").alias("mean_sales"),
     )
+
+
+def knn_rows(spark, d):
+    """Codes of location and type (alphabetical), outlet age and price, as the neighbours see them."""
+    rows = view(spark, d, *K, "loc", "otype", "est_year", "mrp", "size")
+    types = ["Grocery Store", "Supermarket Type1", "Supermarket Type2", "Supermarket Type3"]
+    codes = {
+        "l": S.last_digit("loc") - 1,
+        "t": S.map_value("otype", {name: i for i, name in enumerate(types)}),
+        "y": S.age("est_year"),
+    }
+    return rows, codes
+
+
+KNN_STEPS = (
+    "pt AS (SELECT okey, line, size, CAST(right(loc, 1) AS int) - 1 AS l, "
+    "CASE otype WHEN 'Grocery Store' THEN 0 ELSE CAST(right(otype, 1) AS int) END AS t, 2013 - est_year AS y, mrp AS p FROM rv)",
+    "nq AS (SELECT DISTINCT l, t, y, p FROM pt WHERE size IS NULL)",
+    "nr AS (SELECT l, t, y, p, size FROM pt WHERE size IS NOT NULL)",
+    "nd AS (SELECT nq.l, nq.t, nq.y, nq.p, nr.size, "
+    "sqrt(CAST((nr.l - nq.l) * (nr.l - nq.l) + (nr.t - nq.t) * (nr.t - nq.t) + (nr.y - nq.y) * (nr.y - nq.y) AS double) "
+    "+ (nr.p - nq.p) * (nr.p - nq.p)) AS dist FROM nq, nr)",
+    "nn AS (SELECT l, t, y, p, unnest(min({'d': dist, 's': size}, 5)) AS m FROM nd GROUP BY l, t, y, p)",
+)
+
+
+@query(
+    "knn_top_k",
+    check(
+        f"SELECT l, t, y, p AS mrp, m.s AS size, {near_sql('m.d', 6)} AS distance, count(*) AS used FROM nn GROUP BY l, t, y, p, m.s, m.d",
+        *KNN_STEPS,
+    ),
+)
+def knn_top_k(spark, d):
+    rows, codes = knn_rows(spark, d)
+    near_points = neighbours(rows.withColumns(codes), ["l", "t", "y"], "mrp", "size", 5)
+    merged = near_points.groupBy("l", "t", "y", "mrp", "size", "distance").agg(F.sum("used").alias("used"))
+    return merged.withColumn("distance", near("distance", 6))
+
+
+@query(
+    "fill_knn",
+    check(
+        "SELECT okey, line, coalesce(size, v) AS size FROM pt LEFT JOIN best ON pt.l = best.l AND pt.t = best.t AND pt.y = best.y AND pt.p = best.p",
+        *KNN_STEPS,
+        "nz AS (SELECT *, min(m.d) OVER (PARTITION BY l, t, y, p) AS nearest FROM nn)",
+        "wt AS (SELECT l, t, y, p, m.s AS s, sum(CASE WHEN nearest = 0 THEN CAST(m.d = 0 AS int) ELSE 1 / m.d END) AS w FROM nz GROUP BY l, t, y, p, m.s)",
+        "best AS (SELECT l, t, y, p, s AS v FROM (SELECT *, row_number() OVER (PARTITION BY l, t, y, p ORDER BY w DESC, s) AS k FROM wt) WHERE k = 1)",
+    ),
+)
+def fill_knn_query(spark, d):
+    rows, codes = knn_rows(spark, d)
+    return fill_knn(rows, codes, "mrp", "size", 5).select(*K, "size")

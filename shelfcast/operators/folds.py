@@ -30,10 +30,8 @@ def holdout(mixed_fold: Column, names: tuple[str, str] = ("fit", "holdout")) ->
     return F.when(mixed_fold == 0, names[1]).otherwise(names[0])
 
 
-def other_fold_sums(
-    train: DataFrame, key: str, fold: str, folds: int, values: Mapping[str, str | Column]
-) -> DataFrame:
-    """One row per key: sum and count of each value, whole and without each fold.
+def other_fold_aggregates(fold: str, folds: int, values: Mapping[str, str | Column]) -> dict[str, Column]:
+    """Aggregates for the sum and count of each value, whole and without each fold.
 
     All folds come from one aggregation with partial sums before the shuffle. The sums
     without a fold are added up directly rather than by subtraction, so a row's own
@@ -47,10 +45,15 @@ def other_fold_sums(
         aggregates[f"{name}_sums"] = F.array(
             *[F.sum(F.when(F.col(fold) != i, y).otherwise(0.0)) for i in range(folds)]
         )
-        aggregates[f"{name}_ns"] = F.array(
-            *[F.count(F.when(F.col(fold) != i, y)) for i in range(folds)]
-        )
-    return group_stats(train, [key], **aggregates)
+        aggregates[f"{name}_ns"] = F.array(*[F.count(F.when(F.col(fold) != i, y)) for i in range(folds)])
+    return aggregates
+
+
+def other_fold_sums(
+    train: DataFrame, key: str, fold: str, folds: int, values: Mapping[str, str | Column]
+) -> DataFrame:
+    """One row per key with the aggregates above."""
+    return group_stats(train, [key], **other_fold_aggregates(fold, folds, values))
 
 
 def other_folds_mean(name: str, fold: str, in_train: Column) -> Column:

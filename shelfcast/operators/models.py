@@ -291,7 +291,9 @@ def best_rounds(curve: Sequence[float], patience: int) -> int:
 def early_stopped(table: DataFrame, params: Mapping, fold: int, tolerance: float = 0.001) -> Model:
     """Boosting that stops once the held-out fold no longer improves."""
     marked = table.withColumn("_held_out", F.col(FOLD) == fold)
-    return gbt(params).setValidationIndicatorCol("_held_out").setValidationTol(tolerance).fit(marked)
+    booster = gbt(params)
+    booster.set(booster.validationIndicatorCol, "_held_out").set(booster.validationTol, tolerance)
+    return booster.fit(marked)
 
 
 # --- out-of-fold and final predictions --------------------------------------------

@@ -292,7 +292,8 @@ def early_stopped(table: DataFrame, params: Mapping, fold: int, tolerance: float
     """Boosting that stops once the held-out fold no longer improves."""
     marked = table.withColumn("_held_out", F.col(FOLD) == fold)
     booster = gbt(params)
-    booster.set(booster.validationIndicatorCol, "_held_out").set(booster.validationTol, tolerance)
+    booster.set(booster.validationIndicatorCol, "_held_out")
+    booster.set(booster.validationTol, tolerance)
     return booster.fit(marked)
 
 

@@ -8,12 +8,13 @@ shifted by the totals of the partitions before.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import attach
-from shelfcast.session import Table, materialise
+from shelfcast.session import materialise
 
 SKETCH_ACCURACY = 10_000
 
@@ -47,7 +48,8 @@ def ordered_counts(df: DataFrame, groups: list[str], value: str, weight: str | N
     )
     inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     running = placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    return attach(running, offsets, [*keys, "_part"]).select(
+    # The window above already holds the rows by these keys, so this join moves only the offsets.
+    return running.join(offsets, [*keys, "_part"]).select(
         *groups, value, "_n", (F.col("_offset") + F.col("_inside")).alias("_before"), "_total"
     )
 
@@ -72,6 +74,25 @@ def group_quantile(
     )
 
 
+def medians(requests: dict[str, tuple[DataFrame, str, str | None]]) -> dict[str, Column]:
+    """Exact medians of several (weighted) columns of group tables from one ordering.
+
+    ``requests`` maps a name to (table, column, weight column or None); the answer holds
+    one value per name.
+    """
+    parts = [
+        df.select(
+            F.lit(name).alias("_name"),
+            F.col(column).cast("double").alias("_value"),
+            (F.col(weight) if weight else F.lit(1)).cast("long").alias("_weight"),
+        )
+        for name, (df, column, weight) in requests.items()
+    ]
+    found = group_quantile(reduce(DataFrame.unionAll, parts), ["_name"], "_value", 0.5, "median", "_weight")
+    values = {r["_name"]: r["median"] for r in found.collect()}
+    return {name: F.lit(values.get(name)).cast("double") for name in requests}
+
+
 def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
     """Exact interpolated quantiles of whole columns, as driver values (the fitted edges).
 

@@ -73,5 +73,5 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def view(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return retail_view(spark, sf_dir, *columns)
+def view(spark: SparkSession, sf_dir: str, *columns: str, spread: bool = False) -> DataFrame:
+    return retail_view(spark, sf_dir, *columns, spread=spread)

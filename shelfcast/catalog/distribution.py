@@ -84,7 +84,7 @@ def grid_sql(name, low, count, step):
 )
 def boxcox_fit(spark, d):
     """The fine grid around the best power of the coarse one."""
-    rows = view(spark, d, "visibility")
+    rows = view(spark, d, "visibility", spread=True)
     best = D.fit_box_cox(rows, "visibility", steps=(0.1,))
     grid = D.power_grid(best - 0.1, best + 0.1, 0.01)
     return D.box_cox_scores(rows, "visibility", 1e-6, grid).withColumn("log_likelihood", near("log_likelihood", 2))

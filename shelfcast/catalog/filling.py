@@ -238,7 +238,7 @@ def fill_cold_start(spark, d):
 
 def knn_rows(spark, d):
     """Codes of location and type (alphabetical), outlet age and price, as the neighbours see them."""
-    rows = view(spark, d, *K, "loc", "otype", "est_year", "mrp", "size")
+    rows = view(spark, d, *K, "loc", "otype", "est_year", "mrp", "size", spread=True)
     types = ["Grocery Store", "Supermarket Type1", "Supermarket Type2", "Supermarket Type3"]
     codes = {
         "l": S.last_digit("loc") - 1,

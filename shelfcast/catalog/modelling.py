@@ -131,7 +131,7 @@ FEATURES = ["weight", "visibility", "mrp", "age", "tier", "kind", "size_score"]
 
 def model_table(spark, d):
     """Vectors of all rows of the view, with label, fold and source."""
-    rows = view(spark, d, *K, "source", "fold", "item_id", "outlet_id", "weight", "visibility", "mrp", "est_year", "loc", "otype", "size", "sales")
+    rows = view(spark, d, *K, "source", "fold", "item_id", "outlet_id", "weight", "visibility", "mrp", "est_year", "loc", "otype", "size", "sales", spread=True)
     rows = fill_group_mean(rows, ["item_id"], "weight", global_fallback=True)
     rows = rows.withColumns(
         {
@@ -366,7 +366,7 @@ def profile_feature_table(spark, d):
     The visibility rank is left to ``pct_rank_avg``: its input holds filled means whose
     last bits, and hence ties, differ between engines.
     """
-    table = profile_features(view(spark, d), VIEW_ROLES, PREFIX_CATEGORY, FOLDS)
+    table = profile_features(view(spark, d, spread=True), VIEW_ROLES, PREFIX_CATEGORY, FOLDS)
     numbers = [c for c in NUMBERS if c != "Visibility_Rank_in_Category"]
     return table.select(*K, F.col("_source").alias("source"), *[near(F.col(c).cast("double")).alias(c) for c in numbers], *TEXTS)
 
@@ -377,7 +377,7 @@ PROFILE_SETTINGS = {"trials": 2, "rounds": 4, "patience": 3, "space": {**TRIAL_S
 @query("profile_plan")
 def profile_plan(spark, d):
     """Tuned, bias-corrected predictions of the profile plan for the unlabelled rows."""
-    return run_profile(view(spark, d), VIEW_ROLES, PREFIX_CATEGORY, FOLDS, **PROFILE_SETTINGS).predictions
+    return run_profile(view(spark, d, spread=True), VIEW_ROLES, PREFIX_CATEGORY, FOLDS, **PROFILE_SETTINGS).predictions
 
 
 @query("race_plan")
@@ -385,7 +385,7 @@ def race_plan(spark, d):
     """The predictions of the race's winner for the unlabelled rows."""
     boosting = {"n_estimators": [3], "max_depth": [3, 4], "learning_rate": [0.3], "subsample": [0.6]}
     result = run_race(
-        view(spark, d), VIEW_ROLES, FOOD, FOLDS, lasso_alphas=(0.05, 0.1), ridge_alphas=(0.5,), degrees=(1,), boosting=boosting
+        view(spark, d, spread=True), VIEW_ROLES, FOOD, FOLDS, lasso_alphas=(0.05, 0.1), ridge_alphas=(0.5,), degrees=(1,), boosting=boosting
     )
     return result.predictions
 
@@ -394,4 +394,4 @@ def race_plan(spark, d):
 def ensemble_plan(spark, d):
     """The averaged log-scale predictions of two searched learners for the unlabelled rows."""
     space = {"n_estimators": ("int", 3, 4), "max_depth": ("int", 3, 4), "learning_rate": ("uniform", 0.2, 0.4), "subsample": ("uniform", 0.65, 0.95)}
-    return run_ensemble(view(spark, d), VIEW_ROLES, FOOD, FOLDS, draws=2, space=space).predictions
+    return run_ensemble(view(spark, d, spread=True), VIEW_ROLES, FOOD, FOLDS, draws=2, space=space).predictions

@@ -104,5 +104,24 @@ def materialise(df: DataFrame, name: str = "stats") -> Table:
     return Table(spark.read.schema(df.schema).parquet(path), int(size["rows"]), int(size["bytes"]))
 
 
+def too_narrow(scan: DataFrame) -> bool:
+    """Whether a freshly read table has fewer splits than there are cores.
+
+    Only for plain scans: asking a plan with shuffles would run them.
+    """
+    return scan.rdd.getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
+
+
+def widened(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """Rows derived from a small scan, spread over the cores for compute-heavy plans.
+
+    A table with a split per core, as any large one has, is left as it is and nothing
+    is shuffled.
+    """
+    if not too_narrow(df if scan is None else scan):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_KEY, str(BROADCAST_BYTES)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.scalar import map_value
 from shelfcast.operators.folds import fold_by_keys
+from shelfcast.session import widened
 
 FOLDS = 5
 KEYS = ["okey", "line"]
@@ -23,11 +24,12 @@ _FROM_PART = {"item_id", "item_type"}
 _FROM_SUPPLIER = {"size", "loc"}
 
 
-def retail_view(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def retail_view(spark: SparkSession, sf_dir: str, *columns: str, spread: bool = False) -> DataFrame:
     """The named columns (all when none are named), joining only the tables they need.
 
     The joins carry no hints: their sizes come from the files, so small dimensions are
-    broadcast and large ones shuffled with adaptive skew splitting.
+    broadcast and large ones shuffled with adaptive skew splitting. ``spread`` lets a
+    compute-heavy plan use all cores on a small table that is a single split.
     """
     made = {
         "okey": F.col("l_orderkey"),
@@ -60,11 +62,12 @@ def retail_view(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         "fold": fold_by_keys(FOLD_FACTORS, FOLDS),
     }
     wanted = list(columns) or list(made)
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    scan = rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     if _FROM_PART & set(wanted):
         part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_type")
         rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
     if _FROM_SUPPLIER & set(wanted):
         supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_acctbal", "s_nationkey")
         rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    return rows.select(*[made[c].alias(c) for c in wanted])
+    result = rows.select(*[made[c].alias(c) for c in wanted])
+    return widened(result, scan) if spread else result

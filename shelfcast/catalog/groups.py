@@ -8,7 +8,6 @@ from shelfcast.catalog.common import check, near, near_sql, query, view
 from shelfcast.functions import scalar as S
 from shelfcast.operators import folds as O
 from shelfcast.operators import groupstats as G
-from shelfcast.operators.impute import fill_group_mean
 from shelfcast.operators.joins import attach, lookup
 from shelfcast.operators.order_stats import group_mode
 from shelfcast.session import materialise
@@ -451,14 +450,26 @@ def outlet_efficiency_kfold(spark, d):
     ),
 )
 def flagship(spark, d):
-    """Weight filled per item, visibility against the outlet mean, out-of-fold mean sales."""
+    """Weight filled per item, visibility against the outlet mean, out-of-fold mean sales.
+
+    All that is keyed by item comes from one aggregation, and so does all keyed by outlet.
+    """
     rows = view(spark, d, *K, "source", "fold", "item_id", "outlet_id", "weight", "visibility", "sales")
-    rows = fill_group_mean(rows, ["item_id"], "weight")
-    means = G.group_mean(rows, ["outlet_id"], "visibility", "m")
-    rows = G.ratio_to_mean(rows, means, ["outlet_id"], "visibility", "m", "visibility_ratio")
-    rows = O.target_mean_kfold(rows, ["item_id", "outlet_id"], "sales", "fold", FOLDS)
+    in_train = F.col("source") == "train"
+    target = F.when(in_train, F.col("sales"))
+    items = materialise(
+        G.group_stats(rows, ["item_id"], _weight=F.avg("weight"), **O.other_fold_aggregates("fold", FOLDS, {"_i": target}))
+    )
+    outlets = materialise(
+        G.group_stats(rows, ["outlet_id"], _seen=F.avg("visibility"), **O.other_fold_aggregates("fold", FOLDS, {"_o": target}))
+    )
+    overall = outlets.df.agg(F.try_divide(F.sum("_o_sum"), F.sum("_o_n"))).scalar()
+    rows = attach(attach(rows, items, ["item_id"]), outlets, ["outlet_id"])
     return rows.select(
         *K,
         "source",
-        *[near(c).alias(c) for c in ("weight", "visibility_ratio", "item_id_avg_sales", "outlet_id_avg_sales")],
+        near(F.coalesce("weight", "_weight")).alias("weight"),
+        near(S.ratio("visibility", "_seen")).alias("visibility_ratio"),
+        near(F.coalesce(O.other_folds_mean("_i", "fold", in_train), overall)).alias("item_id_avg_sales"),
+        near(F.coalesce(O.other_folds_mean("_o", "fold", in_train), overall)).alias("outlet_id_avg_sales"),
     )

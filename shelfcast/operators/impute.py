@@ -1,4 +1,9 @@
-"""Filling missing values and repairing zeros."""
+"""Filling missing values and repairing zeros.
+
+``fit_on`` names the rows to learn from where they are not the filled table itself: a
+chain of fills can so learn each step from the table it started with instead of
+repeating the joins of the steps before.
+"""
 
 from __future__ import annotations
 
@@ -34,12 +39,14 @@ def fill_own_mean_mode(df: DataFrame, source: str, mean_column: str, mode_column
     ).drop("_mean", "_mode")
 
 
-def fill_group_mean(df: DataFrame, keys: list[str], value: str, global_fallback: bool = False) -> DataFrame:
+def fill_group_mean(
+    df: DataFrame, keys: list[str], value: str, global_fallback: bool = False, fit_on: DataFrame | None = None
+) -> DataFrame:
     """Gaps take the group's mean, and if asked the mean of the column after that fill.
 
     A filled group's values sum to mean * rows, so the later mean needs no second pass.
     """
-    stats = materialise(group_stats(df, keys, _mean=F.avg(value), _n=F.count(F.lit(1))))
+    stats = materialise(group_stats(fit_on or df, keys, _mean=F.avg(value), _n=F.count(F.lit(1))))
     choices = [F.col(value), F.col("_mean")]
     if global_fallback:
         known = stats.df.filter("_mean is not null")
@@ -109,9 +116,11 @@ def fill_cascade(
     return filled.withColumn(value, F.coalesce(value, "_mean_1", "_mean_2")).drop("_mean_1", "_mean_2")
 
 
-def fill_group_mode(df: DataFrame, keys: list[str], value: str, default: str | None = None) -> DataFrame:
+def fill_group_mode(
+    df: DataFrame, keys: list[str], value: str, default: str | None = None, fit_on: DataFrame | None = None
+) -> DataFrame:
     """Mode of the group; then ``default`` or the mode of the column after that fill."""
-    cells = materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))).df
+    cells = materialise((fit_on or df).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))).df
     best = F.min(F.when(F.col(value).isNotNull(), F.struct((-F.col("_n")).alias("rank"), F.col(value).alias("v"))))
     modes = materialise(cells.dropna(subset=keys).groupBy(*keys).agg(best.getField("v").alias("_mode")))
     if default is None:

@@ -25,18 +25,17 @@ def ordered_counts(df: DataFrame, groups: list[str], value: str, weight: str | N
     Null values and null group keys are left out. With ``weight`` the rows count
     that much instead of one.
     """
-    spark = df.sparkSession
     keys = groups or ["_all"]
     if not groups:
         df = df.withColumn("_all", F.lit(0))
     amount = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
     counted = df.dropna(subset=[*keys, value]).groupBy(*keys, value).agg(amount.alias("_n"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Adaptive execution may merge neighbouring ranges; the order of the partitions stays.
     placed = materialise(
-        counted.repartitionByRange(parts, *keys, value).withColumn("_part", F.spark_partition_id()),
+        counted.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id()),
         "ordered",
     ).df
-    # One row per group and range partition: a group has at most `parts` of them.
+    # One row per group and range partition: a group has at most as many as there are shuffle partitions.
     shares = placed.groupBy(*keys, "_part").agg(F.sum("_n").alias("_share"))
     whole = Window.partitionBy(*keys)
     earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -193,14 +192,28 @@ def global_mode(df: DataFrame, value: str):
     return group_mode(df, [], value, "mode").scalar()
 
 
-def pct_rank(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
-    """Average rank of the value in its group over the number of non-null values; null stays null."""
-    ranks = ordered_counts(df.select(group, value), [group], value).select(
-        group, value, ((F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_total")).alias(out)
-    )
-    return attach(df, ranks, [group, value])
+def pct_ranks(df: DataFrame, group: str, outputs: dict[str, str]) -> DataFrame:
+    """Average rank of each value in its group over the number of non-null values; null stays null.
+
+    ``outputs`` maps value column to rank column. All ranks are learned from ``df`` itself
+    before any is joined, so none repeats the joins of another.
+    """
+    ranks = {
+        value: materialise(
+            ordered_counts(df.select(group, value), [group], value).select(
+                group, value, ((F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_total")).alias(out)
+            ),
+            "ranks",
+        )
+        for value, out in outputs.items()
+    }
+    for value, table in ranks.items():
+        df = attach(df, table, [group, value])
+    return df
 
 
+def pct_rank(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
+    return pct_ranks(df, group, {value: out})
 
 
 def min_by_finite(board: DataFrame, name: str, score: str) -> DataFrame:

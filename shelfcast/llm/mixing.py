@@ -122,14 +122,15 @@ def mix(
     block_docs: int = 16,
     source: str = "source",
     period: int = PERIOD,
+    temperature: float = 1.0,
 ) -> tuple[DataFrame, dict[str, str]]:
     """Every row once, with its place in the mixed stream; and the names of the added columns.
 
     Adds queue (name; null for the shared one), block, block_offset, release, deadline and slot: the stream is
     the order of (slot, block_offset). Sources without a weight and null share a queue with the
-    weight under ``""`` (else the mean). Without weights a source's weight is its share of the rows, so all
-    sources last to the end of the stream; with other weights a used-up source leaves and the rest go
-    on in proportion: no row is dropped or repeated. The last block of a queue can be short.
+    weight under ``""`` (else the mean). Without weights a source's weight is its number of rows to the power of
+    ``temperature``: at 1 all sources last to the end of the stream, below 1 large sources are held back. A used-up source
+    leaves and the rest go on in proportion: no row is dropped or repeated. The last block of a queue can be short.
 
     Null or empty texts are rows like others; repeated rows are placed each by itself; an empty
     table gives an empty table; an added name that is taken gets an underscore.
@@ -161,7 +162,7 @@ def mix(
     placed = materialise(named.mapInArrow(number, counted), "mixing-rows").df
     rows = queue_totals(placed, queue, F.lit(1), len(names) + 1)
     if weights is None:
-        wanted = [float(n) for n in rows]
+        wanted = [float(n) ** temperature if n else 0.0 for n in rows]
     else:
         rest = weights.get("", sum(weights.values()) / max(1, len(weights)) or 1.0)
         wanted = [*(float(weights[n]) for n in names), float(rest)]

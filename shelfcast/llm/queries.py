@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.archive import read_archive, write_archive
 from shelfcast.llm.mixing import mix
+from shelfcast.llm.near_texts import near_classes
+from shelfcast.llm.near_vectors import near_links
 from shelfcast.llm.packing import pack, with_checksum
+from shelfcast.llm.perspectives import mask_text, rotate
+from shelfcast.llm.quality_model import held_out, score, train
 from shelfcast.llm.quality_rules import RepetitionRules, repetition
+from shelfcast.llm.sharding import shard_documents
+from shelfcast.llm.url_filter import judge_urls, parse_rules
 from shelfcast.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,7 +88,105 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_checksum(pack(_table(spark, sf_dir, "documents")))
 
 
+#: Large sources are held back in the mixture: weights are rows to this power.
+TEMPERATURE = 0.5
+
+
+@_query
+def op3_lattice_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_links(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop("embedding")
+
+
 @_query
 def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed, _ = mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+    mixed, _ = mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), temperature=TEMPERATURE)
     return mixed
+
+
+@_query
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = write_archive(_table(spark, sf_dir, "pages"))
+    records = read_archive(spark, folder)
+    return records.select(
+        F.col("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+ORACLES["op5_warc_archive"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS payload_digest,
+    CAST(strlen(coalesce(html, '')) AS bigint) AS payload_bytes FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY sha256(body)) AS owner FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN owner END AS refers_to FROM q"""
+
+
+@_query
+def op6_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"))
+
+
+BLOCK_RULES = ("net/", "example.com/de/")
+ALLOW_RULES = ("example.net/en/", "org/fr/")
+#: Hosts that are blocked, with their subdomains, where no rule decides.
+BLOCKED_HOSTS = tuple(
+    f"{name}.example.{end}"
+    for name in ("casino-win", "free-bets", "cheap-pills", "ads-track", "spam-farm", "adult-x")
+    for end in ("com", "net", "org")
+)
+
+
+@_query
+def op7_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, parse_rules(BLOCK_RULES, ALLOW_RULES), BLOCKED_HOSTS).drop("url")
+
+
+def _url_sql() -> str:
+    rules = parse_rules(BLOCK_RULES, ALLOW_RULES)
+    values = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in rules)
+    hosts = ", ".join(f"('{h}')" for h in BLOCKED_HOSTS)
+    return f"""WITH rules(rh, rp, rv) AS (VALUES {values}), listed(lh) AS (VALUES {hosts}),
+cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+hits AS (SELECT page_id, rh || rp AS rule, rv, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC, length(rh) DESC) AS n
+  FROM parts JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)),
+known AS (SELECT DISTINCT page_id FROM parts JOIN listed ON host = lh OR ends_with(host, '.' || lh))
+SELECT p.page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN rv WHEN k.page_id IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM parts p LEFT JOIN (SELECT * FROM hits WHERE n = 1) h USING (page_id) LEFT JOIN known k ON p.page_id = k.page_id"""
+
+
+ORACLES["op7_filter_cascade"] = _url_sql()
+
+
+@_query
+def op8_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    machine = train(docs, _table(spark, sf_dir, "labels"))
+    return score(docs, machine).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@_query
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@_query
+def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(_table(spark, sf_dir, "conversations")).withColumn("mask", mask_text())
+
+
+ORACLES["op10_perspectives"] = """WITH t AS (SELECT DISTINCT conv_id, turn, role, replace(text, '<|', '<\\|') AS said FROM conversations),
+people AS (SELECT DISTINCT conv_id, role AS assistant FROM t WHERE role <> 'system'),
+pieces AS (SELECT conv_id, assistant, turn, role = assistant AS own, said || '<|end|>' || chr(10) AS body,
+    CASE WHEN role = assistant THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
+      ELSE '<|user name=' || role || '|>' END || chr(10) AS head FROM t JOIN people USING (conv_id)),
+placed AS (SELECT *, CAST(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, assistant ORDER BY turn) AS bigint) AS stop FROM pieces)
+SELECT conv_id, CAST(0 AS bigint) AS segment, CAST(0 AS bigint) AS sub_segment, assistant, count(*) AS n_turns,
+  count(*) FILTER (WHERE own) AS n_masked, string_agg(head || body, '' ORDER BY turn) AS text,
+  coalesce(string_agg(CASE WHEN own THEN (stop - length(body)) || '-' || stop END, ',' ORDER BY turn), '') AS mask
+FROM placed GROUP BY conv_id, assistant"""

@@ -49,6 +49,7 @@ def parse_rules(block: Iterable[str], allow: Iterable[str]) -> list[Rule]:
 
 @dataclass(frozen=True)
 class Level:
+    salt: int
     words: int
     hashes: int
     table: DataFrame
@@ -58,18 +59,18 @@ class Level:
         bits = self.table.scalar()
         return reduce(
             lambda a, b: a & b,
-            [F.getbit(F.element_at(bits, (p / 64).cast("int") + 1), (p % 64).cast("int")) == 1 for p in _positions(key, self.words, self.hashes)],
+            [F.getbit(F.element_at(bits, (p / 64).cast("int") + 1), (p % 64).cast("int")) == 1 for p in _positions(key, self.salt, self.words, self.hashes)],
         )
 
 
-def _positions(key: Column, words: int, hashes: int) -> list[Column]:
-    """Bit positions by double hashing; 32-bit halves keep the sums whole."""
-    first = F.pmod(F.xxhash64(key), F.lit(1 << 31))
-    step = F.pmod(F.xxhash64(F.lit(17), key), F.lit(1 << 31)) * 2 + 1
+def _positions(key: Column, salt: int, words: int, hashes: int) -> list[Column]:
+    """Bit positions by double hashing, other ones at every level; 32-bit halves keep the sums whole."""
+    first = F.pmod(F.xxhash64(F.lit(2 * salt), key), F.lit(1 << 31))
+    step = F.pmod(F.xxhash64(F.lit(2 * salt + 1), key), F.lit(1 << 31)) * 2 + 1
     return [F.pmod(first + step * k, F.lit(words * 64)) for k in range(hashes)]
 
 
-def _level(keys: DataFrame, count: int, fpr: float) -> Level:
+def _level(keys: DataFrame, salt: int, count: int, fpr: float) -> Level:
     """A Bloom filter of ``keys`` (column ``key``), at least one word of 64 bits."""
     bits = max(64, math.ceil(max(1, count) * -math.log(fpr) / math.log(2) ** 2))
     words = -(-bits // 64)
@@ -77,14 +78,14 @@ def _level(keys: DataFrame, count: int, fpr: float) -> Level:
         raise ValueError(f"a filter level of {words * 8} bytes is too large to go with the query")
     hashes = max(1, min(16, round(-math.log2(fpr))))
     spark = keys.sparkSession
-    places = F.array(*_positions(F.col("key"), words, hashes))
+    places = F.array(*_positions(F.col("key"), salt, words, hashes))
     set_bits = keys.select(F.explode(places).alias("at")).groupBy((F.col("at") / 64).cast("long").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS int))")).alias("bits")
     )
     filled = spark.range(words).withColumnRenamed("id", "word").join(set_bits, "word", "left")
     pairs = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
     row = materialise(filled.agg(F.transform(pairs, lambda x: x["bits"]).alias("bits")), "filter").df
-    return Level(words, hashes, row)
+    return Level(salt, words, hashes, row)
 
 
 class Cascade:
@@ -100,7 +101,7 @@ class Cascade:
         if not listed.rows:
             return
         while True:
-            level = _level(inside, count, fpr)
+            level = _level(inside, len(self.levels), count, fpr)
             self.levels.append(level)
             fpr = 0.5
             if outside is None:  # level 1: all unlisted keys of the corpus

@@ -43,8 +43,7 @@ def prefix_category_strict(spark, d):
 )
 def prefix_category_enum(spark, d):
     """Only listed three-character prefixes are translated; LA0 is, NE0 and RE0 are not."""
-    letters = {"BL": "01", "CO": "01", "HO": "01", "LA": "0"}
-    mapping = S.enumerated_prefixes(letters, PREFIX_CATEGORY)
+    mapping = {"BL0": "Food", "BL1": "Food", "CO0": "Food", "CO1": "Food", "HO0": "Food", "HO1": "Food", "LA0": "Drinks"}
     return view(spark, d, *K, "item_id").select(*K, S.prefix_category_enum("item_id", mapping).alias("category"))
 
 

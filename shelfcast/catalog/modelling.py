@@ -161,7 +161,7 @@ def scale_in_pipeline(spark, d):
     """Scaler, polynomial terms and model refitted on every fold."""
     table = train_of(model_table(spark, d))
     settings = M.grid({"alpha": [0.1, 1.0], "degree": [2]})
-    board, _, _ = M.search(table, "Lasso", settings, lambda part, s: M.lasso(s["alpha"], s["degree"], scaled=True), FOLDS)
+    board, _, _ = M.search(table, "Lasso", settings, lambda part, s: M.lasso(s["alpha"], s["degree"], scaled=part), FOLDS)
     return board
 
 
@@ -186,7 +186,7 @@ def gbt_fit(spark, d):
 @query("gbt_second_fit")
 def gbt_second_fit(spark, d):
     table = model_table(spark, d)
-    return scores(M.forest({"n_estimators": 5, "max_depth": 6, "subsample": 0.8}).fit(train_of(table)), table)
+    return scores(M.gbt_second({**SMALL, "subsample": 0.8, "colsample": 0.7, "min_child_weight": 3, "gamma": 0.0}).fit(train_of(table)), table)
 
 
 def boosted(part, s):
@@ -210,7 +210,8 @@ def random_search(spark, d):
 def trial_search(spark, d):
     table = train_of(model_table(spark, d))
     space = {**TRIAL_SPACE, "max_depth": ("int", 3, 5)}
-    return M.search(table, "gbt", M.draws(space, 3, 4), boosted, FOLDS)[0]
+    settings = [{**SMALL, **s, "n_estimators": 10} for s in M.draws(space, 3, 4)]
+    return M.search(table, "gbt", settings, lambda part, s: M.gbt(s), FOLDS, patience=3)[0]
 
 
 @query("best_rounds_cv")
@@ -225,7 +226,7 @@ def best_rounds_cv(spark, d):
 @query("early_stopping")
 def early_stopping(spark, d):
     table = train_of(model_table(spark, d))
-    model = M.early_stopped(table, {**SMALL, "n_estimators": 8, "learning_rate": 0.8}, fold=0)
+    model = M.early_stopped(table, {**SMALL, "n_estimators": 30, "learning_rate": 0.8}, fold=0, patience=5)
     held_out = model.transform(table.filter(F.col("fold") == 0))
     return held_out.agg(metrics.rmse("label", "prediction").alias("rmse"), F.lit(model.getNumTrees).alias("rounds"))
 
@@ -371,7 +372,7 @@ def profile_feature_table(spark, d):
     return table.select(*K, F.col("_source").alias("source"), *[near(F.col(c).cast("double")).alias(c) for c in numbers], *TEXTS)
 
 
-PROFILE_SETTINGS = {"trials": 2, "rounds": 4, "patience": 3, "space": {**TRIAL_SPACE, "max_depth": ("int", 3, 4)}}
+PROFILE_SETTINGS = {"trials": 2, "rounds": 6, "patience": 3, "search_patience": 3, "space": {**TRIAL_SPACE, "max_depth": ("int", 3, 4)}}
 
 
 @query("profile_plan")
@@ -385,7 +386,7 @@ def race_plan(spark, d):
     """The predictions of the race's winner for the unlabelled rows."""
     boosting = {"n_estimators": [3], "max_depth": [3, 4], "learning_rate": [0.3], "subsample": [0.6]}
     result = run_race(
-        view(spark, d, spread=True), VIEW_ROLES, FOOD, FOLDS, lasso_alphas=(0.05, 0.1), ridge_alphas=(0.5,), degrees=(1,), boosting=boosting
+        view(spark, d, spread=True), VIEW_ROLES, FOOD, FOLDS, lasso_alphas=(0.05, 0.1), ridge_alphas=(0.5,), boosting=boosting
     )
     return result.predictions
 

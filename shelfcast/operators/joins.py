@@ -2,72 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfcast.session import Table, broadcast_limit, materialise
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are fewer
-# than HOT_SHARE hot keys whatever the data.
-HOT_SHARE = 256
-SPREAD = 64
-
-
 def attach(fact: DataFrame, stats: DataFrame | Table, keys: list[str], how: str = "left") -> DataFrame:
     """Join ``stats`` (at most one row per key) to ``fact``.
 
     The statistics are written once and measured. Up to the broadcast limit they
-    are broadcast and the fact rows do not move; beyond it both sides are shuffled
-    with the hot keys salted.
+    are broadcast and the fact rows do not move; beyond it both sides are shuffled, and
+    adaptive execution splits the partitions of hot keys and of rows without a key. The plan
+    that leads to the fact rows runs once, so its cost grows linearly with the joins.
     """
     table = stats if isinstance(stats, Table) else materialise(stats)
     if table.bytes <= broadcast_limit(fact.sparkSession):
         return fact.join(F.broadcast(table.df), keys, how)
-    return spread_join(fact, table.df, keys, how)
-
-
-def hot_keys(fact: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys holding more than 1/HOT_SHARE of the rows (so fewer than HOT_SHARE of them)."""
-    total = fact.agg(F.count(F.lit(1))).scalar()
-    counted = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return materialise(
-        counted.filter(F.col("_rows") * HOT_SHARE > total).select(*keys, F.lit(True).alias("_hot")),
-        "hot",
-    ).df
-
-
-def spread_join(fact: DataFrame, stats: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Shuffle join that spreads each hot key (and rows without a key) over many tasks.
-
-    The salt is a hash of the row itself, so a repeated task yields the same rows.
-    """
-    hot = F.broadcast(hot_keys(fact, keys))
-    hashable = [
-        field.name
-        for field in fact.schema.fields
-        if isinstance(field.dataType, (T.AtomicType, T.ArrayType))
-    ]
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salt = F.pmod(F.xxhash64(*hashable), F.lit(SPREAD)).cast("int")
-    salted = (
-        fact.join(hot, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, salt).otherwise(0))
-        .drop("_hot")
-    )
-    copies = (
-        stats.join(hot, keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop("_hot")
-    )
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return fact.join(table.df.hint("merge"), keys, how)
 
 
 def lookup(

@@ -15,10 +15,19 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
+from pyspark.errors import ArithmeticException, IllegalArgumentException
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
-from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler, VectorSlicer
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import (
+    ElementwiseProduct,
+    Interaction,
+    PolynomialExpansion,
+    StandardScaler,
+    VectorAssembler,
+    VectorSlicer,
+)
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,59 +60,86 @@ def vectors(df: DataFrame, features: list[str], label: str | None, keep: list[st
 # --- learners ---------------------------------------------------------------------
 
 
-def gbt(params: Mapping | None = None, seed: int = 4) -> GBTRegressor:
-    """Boosted trees on squared error; regularisation weights have no counterpart and are ignored."""
-    kwargs = {"maxIter": 20, "seed": seed}
-    for name, value in (params or {}).items():
-        target = BOOSTING_PARAMS.get(name)
+def gbt(params: Mapping | None = None, seed: int = 4, **shape) -> GBTRegressor:
+    """Boosted trees on squared error; a setting that Spark has no counterpart for is an error."""
+    params = dict(params or {})
+    if unknown := sorted(set(params) - set(BOOSTING_PARAMS)):
+        raise ValueError(f"unknown boosting settings: {', '.join(unknown)}")
+    kwargs = {"maxIter": 100, "seed": seed, **shape}
+    for name, value in params.items():
+        target = BOOSTING_PARAMS[name]
         if target == "featureSubsetStrategy":
             kwargs[target] = str(float(value)) if float(value) < 1 else "all"
-        elif target:
+        else:
             kwargs[target] = value
     return GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION, **kwargs)
 
 
-def forest(params: Mapping | None = None, seed: int = 4) -> RandomForestRegressor:
-    """The second tree learner of the ensemble."""
-    kwargs = {"numTrees": 20, "seed": seed}
-    names = {"n_estimators": "numTrees", "max_depth": "maxDepth", "subsample": "subsamplingRate"}
-    kwargs.update({names[k]: v for k, v in (params or {}).items() if k in names})
-    return RandomForestRegressor(featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION, **kwargs)
+def gbt_second(params: Mapping | None = None, seed: int = 4) -> GBTRegressor:
+    """The second boosted learner: absolute error, finer bins, other samples; every searched setting acts."""
+    return gbt(params, seed + 1, lossType="absolute", maxBins=64)
 
 
-def linear(reg_param: float, l1: bool, degree: int = 1, scaled: bool = False) -> Pipeline:
-    """Penalised linear model on polynomial terms, optionally scaled inside the pipeline."""
+def linear(
+    reg_param: float, l1: bool, degree: int = 1, scaled: DataFrame | None = None, indicators: str | None = None,
+    tolerance: float = 1e-6, iterations: int = 1000,
+) -> Pipeline:
+    """Penalised linear model on polynomial terms, fitted by iterations at every number of terms.
+
+    ``scaled`` is the part that the pipeline is fitted on, if its features are to be scaled (by population deviations).
+    ``indicators`` names a 0/1 vector with at most one 1; with degree 2 it adds itself, its squares and its products with the
+    features. Products of two indicators are 0 in every row and left out, so terms grow with their number, not its square.
+    """
     column, stages = FEATURES, []
-    if scaled:
-        stages.append(StandardScaler(inputCol=column, outputCol="_scaled", withMean=True, withStd=True))
+    if scaled is not None:
+        stages.append(StandardScaler(inputCol=column, outputCol="_sample", withMean=True, withStd=True))
+        rows, size = scaled.count(), scaled.select(FEATURES).first()[0].size
+        factor = math.sqrt(rows / (rows - 1)) if rows > 1 else 1.0
+        stages.append(ElementwiseProduct(inputCol="_sample", outputCol="_scaled", scalingVec=Vectors.dense([factor] * size)))
         column = "_scaled"
+    parts = [column]
     if degree > 1:
         stages.append(PolynomialExpansion(degree=degree, inputCol=column, outputCol="_terms"))
-        column = "_terms"
+        parts = ["_terms"]
+    if indicators:
+        parts.append(indicators)
+        if degree == 2:
+            stages.append(Interaction(inputCols=[indicators, column], outputCol="_crossed"))
+            parts += [indicators, "_crossed"]
+        elif degree > 2:
+            raise ValueError("indicators are for degrees 1 and 2")
+    if len(parts) > 1:
+        stages.append(VectorAssembler(inputCols=parts, outputCol="_all"))
+        parts = ["_all"]
     stages.append(
         LinearRegression(
-            featuresCol=column,
+            featuresCol=parts[0],
             labelCol=LABEL,
             predictionCol=PREDICTION,
             regParam=reg_param,
             elasticNetParam=1.0 if l1 else 0.0,
             standardization=False,
-            solver="auto" if l1 else "normal",
-            maxIter=100,
+            solver="l-bfgs",
+            maxIter=iterations,
+            tol=tolerance,
         )
     )
     return Pipeline(stages=stages)
 
 
-def lasso(alpha: float, degree: int = 1, scaled: bool = False) -> Pipeline:
+def lasso(
+    alpha: float, degree: int = 1, scaled: DataFrame | None = None, indicators: str | None = None, tolerance: float = 1e-6
+) -> Pipeline:
     """Minimises residual / (2n) + alpha * |w|."""
-    return linear(alpha, True, degree, scaled)
+    return linear(alpha, True, degree, scaled, indicators, tolerance)
 
 
-def ridge(train: DataFrame, alpha: float, degree: int = 1, scaled: bool = False) -> Pipeline:
+def ridge(
+    train: DataFrame, alpha: float, degree: int = 1, scaled: bool = False, indicators: str | None = None, tolerance: float = 1e-6
+) -> Pipeline:
     """Minimises residual + alpha * |w|^2; Spark's penalty is relative to label scale and row count."""
-    row = train.agg(F.stddev_pop(LABEL).alias("s"), F.count(F.lit(1)).alias("n")).first()
-    return linear(alpha * (row["s"] or 1.0) / max(row["n"], 1), False, degree, scaled)
+    row = train.agg(F.stddev(LABEL).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    return linear(alpha * (row["s"] or 1.0) / max(row["n"], 1), False, degree, train if scaled else None, indicators, tolerance)
 
 
 # --- evaluation -------------------------------------------------------------------
@@ -130,10 +166,15 @@ def fold_parts(table: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
 
 @dataclass
 class Candidate:
+    """A model to try. With ``patience`` its params are boosting settings, scored at their best round."""
+
     name: str
     params: dict
     estimator: Callable[[DataFrame], Estimator]
     columns: list[int] | None = None
+    patience: int | None = None
+    error: str | None = None
+    rounds: int | None = None
 
 
 def sliced(table: DataFrame, columns: list[int] | None) -> DataFrame:
@@ -152,23 +193,40 @@ def cross_validate(
 ) -> list[float]:
     """Mean score of each candidate over the folds of the fold column.
 
-    A candidate that cannot be fitted scores infinity and so is never chosen.
+    A candidate whose settings are refused or whose numbers break down scores infinity, keeps the message in
+    ``error`` and is never chosen. Any other failure, such as a lost executor, ends the search.
     """
     evaluator = evaluator or rmse_evaluator()
 
     def score(job: tuple[Candidate, int]) -> float:
         candidate, fold = job
-        fit_part, held_out = fold_parts(sliced(table, candidate.columns), fold)
+        rows = sliced(table, candidate.columns)
         try:
+            if candidate.patience is not None:
+                curve = rounds_curve(rows, candidate.params, folds, candidate.patience, evaluator=evaluator)
+                candidate.rounds = best_rounds(curve, candidate.patience)
+                return curve[candidate.rounds - 1]
+            fit_part, held_out = fold_parts(rows, fold)
             return evaluator.evaluate(candidate.estimator(fit_part).fit(fit_part).transform(held_out))
-        except Exception as error:  # a failed model is a result of the search
-            print(f"{candidate.name} failed: {type(error).__name__}")
+        except (ArithmeticException, IllegalArgumentException, ValueError) as error:
+            candidate.error = f"{type(error).__name__}: {error}"[:500]
             return math.inf
 
-    jobs = [(c, f) for c in candidates for f in range(folds)]
+    jobs = [(c, f) for c in candidates for f in range(1 if c.patience is not None else folds)]
     with ThreadPoolExecutor(parallelism) as pool:
         scores = list(pool.map(score, jobs))
-    return [sum(scores[i * folds : (i + 1) * folds]) / folds for i in range(len(candidates))]
+    found: dict[int, list[float]] = {}
+    for (candidate, _), value in zip(jobs, scores):
+        found.setdefault(id(candidate), []).append(value)
+    return [sum(found[id(c)]) / len(found[id(c)]) for c in candidates]
+
+
+def best_of(candidates: Sequence[Candidate], scores: Sequence[float]) -> int:
+    """Place of the lowest finite score; if there is none, an error that says why."""
+    finite = [i for i, v in enumerate(scores) if math.isfinite(v)]
+    if not finite:
+        raise RuntimeError("no model could be fitted: " + "; ".join(f"{c.name}: {c.error}" for c in candidates))
+    return min(finite, key=scores.__getitem__)
 
 
 # --- search -----------------------------------------------------------------------
@@ -198,12 +256,12 @@ def draws(space: Mapping[str, tuple], trials: int, seed: int) -> list[dict]:
 
 
 def leaderboard(table: DataFrame, candidates: Sequence[Candidate], scores: Sequence[float]) -> DataFrame:
-    """``(trial, model, params, rmse)``: one row per candidate tried."""
+    """``(trial, model, params, rmse, error)``: one row per candidate tried."""
     rows = [
-        (i, c.name, json.dumps(c.params, sort_keys=True), float(s))
+        (i, c.name, json.dumps(c.params, sort_keys=True), float(s), c.error)
         for i, (c, s) in enumerate(zip(candidates, scores))
     ]
-    return table.sparkSession.createDataFrame(rows, "trial int, model string, params string, rmse double")
+    return table.sparkSession.createDataFrame(rows, "trial int, model string, params string, rmse double, error string")
 
 
 def search(
@@ -214,11 +272,15 @@ def search(
     folds: int,
     evaluator: Evaluator | None = None,
     parallelism: int = 4,
+    patience: int | None = None,
 ) -> tuple[DataFrame, dict, float]:
-    """Cross-validates every setting: the leaderboard, the best setting and its score."""
-    candidates = [Candidate(name, dict(s), lambda part, s=s: estimator(part, s)) for s in settings]
+    """Cross-validates every setting: the leaderboard, the best setting and its score.
+
+    With ``patience`` the settings are those of ``gbt``, each scored at its best round.
+    """
+    candidates = [Candidate(name, dict(s), lambda part, s=s: estimator(part, s), patience=patience) for s in settings]
     scores = cross_validate(table, candidates, folds, evaluator, parallelism)
-    best = min(range(len(scores)), key=scores.__getitem__)
+    best = best_of(candidates, scores)
     return leaderboard(table, candidates, scores), candidates[best].params, scores[best]
 
 
@@ -229,9 +291,13 @@ def forward_selection(
     estimator: Callable[[DataFrame], Estimator],
     folds: int,
     parallelism: int = 4,
+    boosting: Mapping | None = None,
+    patience: int | None = None,
 ) -> tuple[list[str], float, DataFrame]:
     """Adds the feature that lowers the error most until none does.
 
+    With ``boosting`` settings and ``patience`` every choice is scored at its best round.
+
     ``features`` names the slots of the vector; a candidate reads its slots from the
     one written vector table. Returns the choice, its error and every evaluation.
     """
@@ -239,8 +305,10 @@ def forward_selection(
     chosen, log = unique_names(base), []
 
     def evaluate(lists: list[list[str]]) -> list[float]:
-        tried = [Candidate("+".join(names), {}, estimator, [place[n] for n in names]) for names in lists]
-        return cross_validate(table, tried, folds, parallelism=parallelism)
+        tried = [Candidate("+".join(n), dict(boosting or {}), estimator, [place[x] for x in n], patience) for n in lists]
+        scores = cross_validate(table, tried, folds, parallelism=parallelism)
+        best_of(tried, scores)
+        return scores
 
     (best,) = evaluate([chosen])
     log.append((0, "(base)", best, True))
@@ -263,18 +331,44 @@ def forward_selection(
 # --- boosting rounds --------------------------------------------------------------
 
 
-def rounds_curve(table: DataFrame, params: Mapping, folds: int, parallelism: int = 4) -> list[float]:
-    """Mean held-out RMSE after each boosting round."""
+FIRST_ROUNDS = 25
+
+
+def rounds_curve(
+    table: DataFrame, params: Mapping, folds: int, patience: int = 100, parallelism: int = 4, evaluator: Evaluator | None = None
+) -> list[float]:
+    """Mean held-out error after each boosting round (root mean square error, or the evaluator's).
+
+    Rounds grow (25, 50, 100, ...) until the best one lies ``patience`` rounds behind or the ``n_estimators`` of the settings is
+    reached, so the data end the search. A fit with more rounds and the same seed begins with the same trees.
+    """
+    most = int(params.get("n_estimators", 100))
+    rounds = min(FIRST_ROUNDS, most)
 
     def one(fold: int) -> list[float]:
         fit_part, held_out = fold_parts(table, fold)
-        model = gbt(params).fit(fit_part)
-        return [math.sqrt(v) for v in model.evaluateEachIteration(held_out, "squared")]
+        return _held_out_curve(gbt({**params, "n_estimators": rounds}).fit(fit_part), held_out, evaluator)
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        curves = list(pool.map(one, range(folds)))
-    length = min(map(len, curves))
-    return [sum(c[i] for c in curves) / folds for i in range(length)]
+    while True:
+        with ThreadPoolExecutor(parallelism) as pool:
+            curves = list(pool.map(one, range(folds)))
+        mean = [sum(values) / folds for values in zip(*curves)]
+        if rounds >= most or len(mean) - 1 - mean.index(min(mean)) >= patience:
+            return mean
+        rounds = min(2 * rounds, most)
+
+
+def _held_out_curve(model: Model, held_out: DataFrame, evaluator: Evaluator | None) -> list[float]:
+    if not isinstance(evaluator, OriginalScaleRmse):
+        return [math.sqrt(v) for v in model.evaluateEachIteration(held_out, "squared")]
+    # Errors on another scale need the predictions of every round: running sums over the trees' own.
+    rows, total, names = held_out, F.lit(0.0), []
+    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
+        rows = tree.setPredictionCol(f"_tree{i}").transform(rows)
+        total = total + F.col(f"_tree{i}") * F.lit(weight)
+        names.append(total)
+    errors = [F.sqrt(F.avg(F.pow(F.expm1(LABEL) - F.expm1(p), 2))) for p in names]
+    return list(rows.agg(*errors).first())
 
 
 def best_rounds(curve: Sequence[float], patience: int) -> int:
@@ -288,13 +382,19 @@ def best_rounds(curve: Sequence[float], patience: int) -> int:
     return best + 1
 
 
-def early_stopped(table: DataFrame, params: Mapping, fold: int, tolerance: float = 0.001) -> Model:
-    """Boosting that stops once the held-out fold no longer improves."""
-    marked = table.withColumn("_held_out", F.col(FOLD) == fold)
-    booster = gbt(params)
-    booster.set(booster.validationIndicatorCol, "_held_out")
-    booster.set(booster.validationTol, tolerance)
-    return booster.fit(marked)
+def early_stopped(table: DataFrame, params: Mapping, fold: int, patience: int = 100, seed: int = 4) -> Model:
+    """Boosting with as many rounds as serve the held-out fold best, looked for with patience."""
+    fit_part, held_out = fold_parts(table, fold)
+    most = int(params.get("n_estimators", 100))
+    rounds = min(FIRST_ROUNDS, most)
+    while True:
+        model = gbt({**params, "n_estimators": rounds}, seed).fit(fit_part)
+        curve = _held_out_curve(model, held_out, None)
+        if rounds >= most or len(curve) - 1 - curve.index(min(curve)) >= patience:
+            break
+        rounds = min(2 * rounds, most)
+    best = best_rounds(curve, patience)
+    return model if best == rounds else gbt({**params, "n_estimators": best}, seed).fit(fit_part)
 
 
 # --- out-of-fold and final predictions --------------------------------------------
@@ -315,15 +415,6 @@ def oof_predict(
     return reduce(DataFrame.unionByName, [p.select(*keep, PREDICTION) for p in parts])
 
 
-def oof_early_stopped(table: DataFrame, params: Mapping, folds: int, parallelism: int = 4) -> DataFrame:
-    """Out-of-fold predictions of boosters that stop on their held-out fold, best round included."""
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(lambda f: early_stopped(table, params, f), range(folds)))
-    keep = [c for c in table.columns if c != FEATURES]
-    parts = [m.transform(fold_parts(table, f)[1]).select(*keep, PREDICTION) for f, m in enumerate(models)]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def ensemble_average(df: DataFrame, predictions: Sequence[str], out: str) -> DataFrame:
     """Mean of log-scale predictions, brought back and floored at zero."""
     mean = reduce(lambda a, b: a + b, [F.col(p) for p in predictions]) / len(predictions)

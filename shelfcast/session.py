@@ -19,6 +19,7 @@ _RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

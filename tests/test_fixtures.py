@@ -196,9 +196,13 @@ def test_one_hot_refuses_to_cut(spark):
     with pytest.raises(ValueError):
         E.category_values(spark.range(5), "id", limit=4)
     df = spark.createDataFrame([("a",), ("b",), ("c",)], "c string")
-    hot = E.one_hot_vector(["c"], "v", drop_first=True).fit(df).transform(df)
-    sizes = {r["c"]: r["v"].toArray().sum() for r in hot.collect()}
-    assert sizes["b"] == sizes["c"] == 1.0
+    more = df.union(spark.createDataFrame([("z",), (None,)], "c string"))
+    slots = {r["c"]: r["v"].toArray().tolist() for r in E.one_hot_vector(df, more, ["c"], "v", drop_first=True).collect()}
+    assert slots == {"a": [0, 0], "b": [1, 0], "c": [0, 1], "z": [0, 0], None: [0, 0]}
+    slots = {r["c"]: r["v"].toArray().tolist() for r in E.one_hot_vector(df, more, ["c"], "v").collect()}
+    assert slots == {"a": [1, 0, 0], "b": [0, 1, 0], "c": [0, 0, 1], "z": [0, 0, 0], None: [0, 0, 0]}
+    one = E.one_hot_vector(df.limit(1), df.limit(1), ["c"], "v", drop_first=True)
+    assert one.first()["v"].toArray().sum() == 0
 
 
 def test_drop_columns_strict(spark):
@@ -217,5 +221,3 @@ def test_small_helpers():
     assert M.best_rounds([5, 4, 3, 3.5, 2], patience=1) == 3
     assert M.best_rounds([5, 4, 3, 3.5, 2], patience=2) == 5
     assert D.power_grid(-0.2, 0.2, 0.1) == [-0.2, -0.1, 0.0, 0.1, 0.2]
-    letters = S.enumerated_prefixes(S.CATEGORY_LETTERS, S.CATEGORY_BY_PREFIX)
-    assert len(letters) == 70 and "DRA" not in letters and letters["FDA"] == "Food"

@@ -7,7 +7,7 @@ from shelfcast.operators import folds as O
 from shelfcast.operators import impute as I
 from shelfcast.operators import order_stats as Q
 from shelfcast.operators.groupstats import group_mean
-from shelfcast.operators.joins import attach, hot_keys, spread_join
+from shelfcast.operators.joins import attach
 from shelfcast.session import BROADCAST_KEY
 from shelfcast.sources.retail_view import FOLDS, retail_view
 
@@ -72,33 +72,52 @@ def skewed(spark, n=20000):
     return spark.range(n).select(i, key.cast("long").alias("k"), (i % 97).cast("double").alias("x"))
 
 
-def test_hot_keys_are_found_and_few(spark):
-    assert [r["k"] for r in hot_keys(skewed(spark), ["k"]).filter("k is not null").collect()] == [0]
-
-
-def test_spread_join_equals_plain_join(spark):
+def test_shuffle_join_equals_plain_join(spark, no_broadcast):
     rows = skewed(spark)
     stats = group_mean(rows, ["k"], "x", "m")
     plain = rows.join(stats, "k", "left").select("id", "k", "x", "m")
-    spread = spread_join(rows, stats, ["k"]).select("id", "k", "x", "m")
-    assert spread.count() == rows.count()
-    assert spread.exceptAll(plain).count() == 0
-    inner = spread_join(rows, stats, ["k"], "inner")
+    shuffled = attach(rows, stats, ["k"]).select("id", "k", "x", "m")
+    assert shuffled.count() == rows.count()
+    assert shuffled.exceptAll(plain).count() == 0
+    inner = attach(rows, stats, ["k"], "inner")
     assert inner.count() == rows.filter("k is not null").count()
 
 
-def test_spread_join_spreads_the_hot_key(spark):
-    rows = skewed(spark)
+def test_shuffle_join_splits_the_hot_key(spark, no_broadcast):
+    rows = skewed(spark, 400_000).withColumn("pad", F.sha2(F.col("id").cast("string"), 512))
     stats = group_mean(rows, ["k"], "x", "m")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        sizes = [r["count"] for r in spread_join(rows, stats, ["k"]).groupBy(F.spark_partition_id()).count().collect()]
+        joined = attach(rows.repartition(16), stats, ["k"])
+        sizes = [r["n"] for r in joined.select(F.spark_partition_id().alias("p"), "pad").groupBy("p").agg(F.count("pad").alias("n")).collect()]
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # The hot key alone holds a third of the rows; no partition holds as many.
-    assert max(sizes) < 20000 / 3
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum(sizes) == 400_000 and max(sizes) < 400_000 / 4
+
+
+def test_scans_grow_linearly_with_chained_joins(spark, sf_dir, no_broadcast):
+    """Each further join adds one join to the plan and reads the fact table no more often."""
+
+    def plan_of(count):
+        table = base(spark, sf_dir)
+        for i in range(count):
+            stats = group_mean(base(spark, sf_dir), ["item_id", "outlet_id"][: 1 + i % 2], "mrp", f"m{i}")
+            table = attach(table, stats, ["item_id", "outlet_id"][: 1 + i % 2])
+        return table._jdf.queryExecution().sparkPlan().toString()
+
+    plans = [plan_of(n) for n in (1, 2, 4)]
+    facts = [p.count("l_extendedprice") > 0 and p.count("lineitem.parquet") for p in plans]
+    joins = [p.count("SortMergeJoin") for p in plans]
+    assert facts == [1, 1, 1] and joins[1] - joins[0] == 1 and joins[2] - joins[1] == 2
 
 
 def test_features_do_not_depend_on_the_join_kind(spark, sf_dir, no_broadcast):

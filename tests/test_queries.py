@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from shelfcast import catalog
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-QUERIES, CHECKS = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, CHECKS = catalog.QUERIES, catalog.CHECKS
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -33,7 +34,8 @@ def bag(rows, names):
 
 
 def test_every_check_belongs_to_a_query():
-    assert set(CHECKS) <= set(QUERIES)
+    assert set(CHECKS) <= set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", sorted(CHECKS))

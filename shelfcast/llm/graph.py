@@ -11,7 +11,7 @@ from shelfcast.session import materialise
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node that has a link; the component is its smallest node.
 
-    Large-star and small-star steps alternate until nothing changes, in a number of rounds that
+    Large-star and small-star steps alternate until only stars are left, in a number of rounds that
     grows with the logarithm of a chain's length. Each step is an aggregation (partial before the shuffle) and
     a join, so a node with very many links needs no task of its own; links with a null end or to itself
     do nothing.
@@ -19,19 +19,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     edges = edges.filter(F.col("u") > F.col("v")).distinct()
     table = materialise(edges, "links")
-    seen = None
-    while True:
-        edges = _small_star(_large_star(table.df))
-        table = materialise(edges, "links")
-        mark = table.df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
+    while not _stars(table.df):
+        table = materialise(_small_star(_large_star(table.df)), "links")
     found = table.df.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = table.df.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return found.unionByName(roots)
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one smaller node that hangs on none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.unionAll(edges.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return nodes.filter("hangs > 1 OR (hangs = 1 AND holds = 1)").isEmpty()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

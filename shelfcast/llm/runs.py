@@ -54,15 +54,18 @@ def matrix(table: pa.Table, name: str, width: int, dtype: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=dtype).reshape(table.num_rows, width)
 
 
-def block_pairs(rows: DataFrame, keys: list[str], order: str, block: int) -> DataFrame:
+def block_pairs(rows: DataFrame, keys: list[str], order: str, block: int, size: str | None = None) -> DataFrame:
     """Rows of each group dealt to blocks of about ``block`` rows, once per pair of blocks.
 
     Adds ``block_low, block_high, block_own``: every two rows of a group meet in exactly one pair of blocks,
-    and no pair holds more than about twice ``block`` rows. Groups of one row are left out. ``order`` is a well-spread long.
+    and no pair holds more than about twice ``block`` rows. Groups of one row are left out. ``order`` is a long that tells rows
+    apart; ``size`` names a column with the rows of the group (or more), if there is one.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows")).filter("group_rows > 1")
-    blocks = F.ceil(F.col("group_rows") / F.lit(block)).cast("long")
-    dealt = rows.join(sizes, keys).withColumn("blocks", blocks).drop("group_rows")
+    if size is None:
+        size = "group_rows"
+        rows = rows.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(size)), keys)
+    blocks = F.ceil(F.col(size) / F.lit(block)).cast("long")
+    dealt = rows.filter(F.col(size) > 1).withColumn("blocks", blocks).drop(size)
     own = F.pmod(F.xxhash64(order), F.col("blocks"))
     dealt = dealt.withColumn("block_own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     return dealt.withColumn("block_low", F.least("block_own", "other")).withColumn("block_high", F.greatest("block_own", "other")).drop("other", "blocks")

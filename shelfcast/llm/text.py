@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once inside a task; a longer text is handled by itself.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = (1 << 20) - 1
 
 _BASE = 0x5851F42D4C957F2B
 _WORD_BASE = 0x2545F4914F6CDD1B

@@ -19,7 +19,7 @@ PROSE = "the quick brown fox jumps over a lazy dog while seven grey owls watch f
 def story(seed: int, words: int = 120) -> str:
     """Words of which no five in a row repeat."""
     base = PROSE.split()
-    return " ".join(f"{base[(i * 7 + seed) % len(base)]}{(i * i + seed * 31) % 997}" for i in range(words))
+    return " ".join(f"{base[i % len(base)]}{(i * 7919 + seed * 31) % 10007}" for i in range(words))
 
 
 @pytest.fixture(scope="session")

@@ -14,7 +14,7 @@ from shelfcast.operators import models as M
 from shelfcast.sources.retail_view import FOLDS
 
 ALPHAS = (1000.0, 1_000_000.0, 100_000_000.0)
-EXACT = 1e-12
+EXACT = 1e-9
 TWO_PENALTY, LASSO_PENALTY = 50_000.0, 2000.0
 
 

@@ -146,7 +146,8 @@ def test_patience_finds_rounds_that_a_tolerance_gives_up(table):
     params = {"n_estimators": 40, "learning_rate": 0.005, "max_depth": 1}
     booster = M.gbt(params)
     booster.set(booster.validationIndicatorCol, "held")
-    assert booster.setValidationTol(0.1).fit(df.withColumn("held", F.col("fold") == 0)).getNumTrees < 40
+    booster.set(booster.validationTol, 0.1)
+    assert booster.fit(df.withColumn("held", F.col("fold") == 0)).getNumTrees < 40
     assert M.early_stopped(df, params, 0, patience=20).getNumTrees == 40
 
 

@@ -11,6 +11,7 @@ from shelfcast.llm.packing import pack
 from shelfcast.llm.quality_model import score, train
 from shelfcast.llm.quality_rules import repetition
 from shelfcast.llm.queries import TEMPERATURE
+from shelfcast.llm.queues import mixture_weights
 from shelfcast.session import materialise, tune
 
 
@@ -37,8 +38,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in windows of 1,024 tokens with the sources in proportion."""
-    return pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+    """Pieces of the documents in windows of 1,024 tokens, mixed to the weights of the mixing stage."""
+    return pack(docs, mixture_weights(docs, "source", TEMPERATURE)).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

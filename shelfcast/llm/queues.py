@@ -45,6 +45,13 @@ def largest_sources(docs: DataFrame, source: str, amount: Column, most: int = MA
     return sorted(r["name"] for r in sizes.orderBy(F.desc("size"), "name").limit(most).collect())
 
 
+def mixture_weights(docs: DataFrame, source: str, temperature: float) -> dict[str, float]:
+    """Rows of each source to the power of ``temperature``; null and empty sources together under ``""``."""
+    name = F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))
+    sizes = docs.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("size"))
+    return {r["name"]: float(r["size"]) ** temperature for r in sizes.collect()}
+
+
 def offsets(placed: DataFrame, queue: str, part: str, amount: Column) -> DataFrame:
     """(queue, part, before): what the queue holds in earlier partitions.
 
@@ -74,4 +81,4 @@ def queue_totals(placed: DataFrame, queue: str, amount: Column, queues: int) ->
     return [int(found.get(q) or 0) for q in range(queues)]
 
 
-__all__ = ["MAX_QUEUES", "by_case", "fresh", "largest_sources", "materialise", "offsets", "queue_totals", "with_offsets"]
+__all__ = ["MAX_QUEUES", "by_case", "fresh", "largest_sources", "materialise", "mixture_weights", "offsets", "queue_totals", "with_offsets"]

@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from shelfcast.llm.queries import ORACLES, QUERIES
+from tests.llm.conftest import story
 from tests.llm.test_mixing_and_packing import brute_ids
 from tests.llm.test_rules_and_model import brute
 
@@ -113,3 +114,19 @@ def test_stages_on_awkward_rows(spark, awkward, no_docs, tiny):
             assert out.columns == docs.columns and out.dtypes == docs.dtypes
             out.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, tiny).count() >= (docs is awkward)
+
+
+def test_packed_windows_have_the_target_shares_of_the_mixture(spark, tiny):
+    rows = {"a": 400, "b": 100, "c": 25, None: 9}
+    made = [(i, f"{k} {story(i)}", k) for k, n in rows.items() for i in range(n)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string")
+    pieces = corpus_pipeline.packing(spark, docs, tiny).collect()
+    got = defaultdict(Counter)
+    for r in pieces:
+        got[r["sequence_id"]][r["source_queue"]] += r["length"]
+    weights = [rows[k] ** corpus_pipeline.TEMPERATURE for k in ("a", "b", "c", None)]
+    last = min(max(s for s in got if got[s][q]) for q in range(4))
+    assert last > 5
+    for s in range(last):
+        for q, w in enumerate(weights):
+            assert abs(got[s][q] - 1024 * w / sum(weights)) < 2

@@ -1,16 +1,18 @@
 """Mixing sources to target weights by Pfair scheduling of blocks.
 
-A source's documents form blocks of equal count. With weight w, its i-th block (from 0) is
-released at slot floor(i / w) and due before slot ceil((i + 1) / w); of the released blocks the one due
-earliest takes the slot. On one line of slots that keeps every deadline, so after any number
-of slots t a source has had w*t blocks, give or take less than one.
+A source's documents form blocks of equal count. Let a source be given blocks at its weight without breaks; used-up
+sources leave and the rest go on in proportion. Its i-th block (from 0) is released at the slot in which that flow reaches i
+and due before the flow has passed i + 1; of the released blocks the one due earliest takes the slot. On one
+line of slots that keeps every deadline, so after any number of slots a source has had what the flow gave it (w*t while all
+sources last), give or take less than one block. Weights and flow are exact integers, at any length of the stream.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +23,12 @@ from pyspark.sql import types as T
 from shelfcast.llm.queues import by_case, fresh, largest_sources, queue_totals, with_offsets
 from shelfcast.session import materialise
 
-#: Slots of a period; weights are whole multiples of one slot in it.
+#: Slots between two kept states of the schedule (more where there are many queues), from which tasks plan on.
 PERIOD = 4096
 
 
 def period_shares(weights: list[float], period: int = PERIOD) -> list[int]:
-    """Slots of each queue in a period: whole, at least one where the weight is positive."""
+    """Weights as whole slots of a period that repeats, at least one where positive; mix() does not round its weights so."""
     if not any(w > 0 for w in weights):
         raise ValueError("no queue has a positive weight")
     if sum(w > 0 for w in weights) > period:
@@ -49,71 +51,147 @@ def windows(block: int, share: int, period: int) -> tuple[int, int]:
 
 
 def earliest_deadline_first(shares: list[int], period: int) -> list[np.ndarray]:
-    """Slots of each queue's blocks in one period; every later period repeats it."""
-    slots: list[list[int]] = [[] for _ in shares]
-    waiting = [(windows(0, n, period), q, 0) for q, n in enumerate(shares) if n]
-    waiting = [(release, deadline, q, i) for (release, deadline), q, i in waiting]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int, int]] = []
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, deadline, q, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (deadline, q, i))
-        deadline, q, i = heapq.heappop(ready)
-        assert slot < deadline, "a deadline was missed"
-        slots[q].append(slot)
-        if i + 1 < shares[q]:
-            release, deadline = windows(i + 1, shares[q], period)
-            heapq.heappush(waiting, (release, deadline, q, i + 1))
-    return [np.array(s, dtype=np.int64) for s in slots]
-
-
-@dataclass(frozen=True)
-class Phase:
-    """Slots in which the same queues take part."""
-
-    start: int
-    first_block: np.ndarray
-    shares: np.ndarray
-    slots: list[np.ndarray]
+    """Slots of each queue's blocks where all queues last to the end of the period."""
+    order = np.fromiter(Flow(shares, shares).serve([0] * len(shares), 0), np.int64, period)
+    return [np.flatnonzero(order == q) for q in range(len(shares))]
+
+
+class Flow:
+    """Blocks that flow at their weights, in exact integers; a used-up queue leaves and the rest share its slots.
+
+    Time by weight, v, runs alike for all queues: queue q has had min(blocks, weight * v) and leaves at v = blocks / weight.
+    """
+
+    def __init__(self, blocks: list[int], weights: list[float]):
+        ratio = [w.as_integer_ratio() if n else (0, 1) for n, w in zip(blocks, weights, strict=True)]
+        scale = max((d for _, d in ratio), default=1)  # all are powers of two
+        self.blocks, self.weights = list(blocks), [n * (scale // d) for n, d in ratio]
+        leave = sorted((q for q, n in enumerate(blocks) if n), key=lambda q: blocks[q] / self.weights[q])
+        # What leaves in one place of the float order may be a hair out of the exact one: settled by exact comparison.
+        for k in range(1, len(leave)):
+            while k and blocks[leave[k]] * self.weights[leave[k - 1]] < blocks[leave[k - 1]] * self.weights[leave[k]]:
+                leave[k - 1], leave[k] = leave[k], leave[k - 1]
+                k -= 1
+        self.leave, self.total = leave, sum(blocks)
+        self.gone, self.rate = [0], [sum(self.weights)]  # before the k-th has left: blocks of the gone, weight of the rest
+        for q in leave[:-1]:
+            self.gone.append(self.gone[-1] + blocks[q])
+            self.rate.append(self.rate[-1] - self.weights[q])
+        self.at_v = [blocks[q] / self.weights[q] for q in leave]
+        self.at_slot = [g + blocks[q] * r / self.weights[q] for q, g, r in zip(leave, self.gone, self.rate, strict=False)]
+
+    def window(self, queue: int, block: int) -> tuple[int, int]:
+        """Release slot and deadline of a block: it has to run in release <= slot < deadline."""
+        w = self.weights[queue]
+        k = self._phase(block, w)
+        release = self.gone[k] + block * self.rate[k] // w
+        k = self._phase(block + 1, w)
+        return release, self.gone[k] - (-(block + 1) * self.rate[k] // w)
+
+    def _phase(self, n: int, w: int) -> int:
+        """How many queues have left before v = n / w."""
+        last = len(self.leave) - 1
+        k = min(bisect_right(self.at_v, n / w), last)
+        while k and n * self.weights[self.leave[k - 1]] < self.blocks[self.leave[k - 1]] * w:
+            k -= 1
+        while k < last and n * self.weights[self.leave[k]] > self.blocks[self.leave[k]] * w:
+            k += 1
+        return k
+
+    def whole(self, slot: int) -> list[int]:
+        """Whole blocks of each queue that have flowed before ``slot``."""
+        last = len(self.leave) - 1
+        k = min(bisect_right(self.at_slot, slot), last)
+        ends = lambda j: (self.blocks[self.leave[j]] * self.rate[j], self.weights[self.leave[j]])
+        while k and (slot - self.gone[k - 1]) * ends(k - 1)[1] < ends(k - 1)[0]:
+            k -= 1
+        while k < last and (slot - self.gone[k]) * ends(k)[1] > ends(k)[0]:
+            k += 1
+        passed, rate = slot - self.gone[k], self.rate[k]
+        return [min(n, w * passed // rate) for n, w in zip(self.blocks, self.weights, strict=True)]
+
+    def serve(self, given: list[int], slot: int) -> Iterator[int]:
+        """The queue of each slot from ``slot`` on, where queues have had ``given`` blocks before: earliest deadline first."""
+        ready: list[tuple[int, int, int]] = []
+        waiting = [(*self.window(q, i), q, i) for q, (i, n) in enumerate(zip(given, self.blocks, strict=True)) if i < n]
+        heapq.heapify(waiting)
+        while waiting or ready:
+            while waiting and waiting[0][0] <= slot:
+                _, deadline, q, i = heapq.heappop(waiting)
+                heapq.heappush(ready, (deadline, q, i))
+            deadline, q, i = heapq.heappop(ready)
+            if slot >= deadline:
+                raise AssertionError("a deadline was missed")
+            yield q
+            slot += 1
+            if i + 1 < self.blocks[q]:
+                release, deadline = self.window(q, i + 1)
+                heapq.heappush(waiting, (release, deadline, q, i + 1))
 
 
 class Timetable:
-    """Slot, release and deadline of every block; a phase ends when a queue has no block left."""
+    """Slot, release and deadline of every block.
+
+    The driver serves all slots once and keeps the state before every ``period``-th: one bit per queue, whether it has had
+    the block that the flow is in. Tasks serve again the periods that their rows fall in.
+    """
 
     def __init__(self, blocks: list[int], weights: list[float], period: int = PERIOD):
-        self.period, self.phases = period, []
-        left, given, start = list(blocks), [0] * len(blocks), 0
-        while any(left):
-            shares = period_shares([w if n else 0.0 for w, n in zip(weights, left, strict=True)], period)
-            slots = earliest_deadline_first(shares, period)
-            self.phases.append(Phase(start, np.array(given), np.array(shares), slots))
-            end = 1 + min(
-                (n - 1) // shares[q] * period + int(slots[q][(n - 1) % shares[q]]) for q, n in enumerate(left) if n
-            )
-            whole, part = divmod(end, period)
-            for q in range(len(left)):
-                if left[q]:
-                    had = whole * shares[q] + int(np.searchsorted(slots[q], part))
-                    given[q] += had
-                    left[q] -= had
-            start += end
+        if any(n and not w > 0 for n, w in zip(blocks, weights, strict=True)):
+            raise ValueError("a queue with blocks needs a positive weight")
+        self.flow = Flow(blocks, [float(w) for w in weights])
+        self.period = max(period, 16 * len(blocks))
+        self.states: list[bytes] = []
+        given, served = [0] * len(blocks), self.flow.serve([0] * len(blocks), 0) if any(blocks) else iter(())
+        for slot, q in enumerate(served):
+            if slot % self.period == 0:
+                ahead = np.array(given, np.int64) - np.array(self.flow.whole(slot), np.int64)
+                self.states.append(np.packbits(ahead.astype(bool)).tobytes())
+            given[q] += 1
+        self._make_caches()
+
+    def _make_caches(self) -> None:
+        self._given, self._slots = lru_cache(1024)(self._find_given), lru_cache(256)(self._find_slots)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("_given", "_slots")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._make_caches()
+
+    def _find_given(self, k: int) -> np.ndarray:
+        """Blocks that each queue has had before period ``k``."""
+        n = len(self.flow.blocks)
+        if k >= len(self.states):
+            return np.array(self.flow.blocks, np.int64)
+        ahead = np.unpackbits(np.frombuffer(self.states[k], np.uint8), count=n)
+        return np.array(self.flow.whole(k * self.period), np.int64) + ahead
+
+    def _find_slots(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The slots of period ``k`` by queue, and where each queue's begin."""
+        size = min(self.period, self.flow.total - k * self.period)
+        served = self.flow.serve(self._given(k).tolist(), k * self.period)
+        queues = np.fromiter((q for q, _ in zip(served, range(size))), np.int64, size)
+        begins = np.searchsorted(np.sort(queues), np.arange(len(self.flow.blocks)))
+        return np.argsort(queues, kind="stable"), begins
+
+    def _slot(self, queue: int, block: int, release: int, deadline: int) -> int:
+        low, high = release // self.period, (deadline - 1) // self.period
+        while low < high:  # the last period before which the queue has had at most this many
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if self._given(middle)[queue] <= block else (low, middle - 1)
+        slots, begins = self._slots(low)
+        return low * self.period + int(slots[begins[queue] + block - self._given(low)[queue]])
 
     def find(self, queue: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(release, deadline, slot) of blocks."""
-        out = [np.zeros(len(queue), np.int64) for _ in range(3)]
-        for k, phase in enumerate(self.phases):
-            more = self.phases[k + 1].first_block if k + 1 < len(self.phases) else None
-            own = (block >= phase.first_block[queue]) & (phase.shares[queue] > 0)
-            if more is not None:
-                own &= block < more[queue]
-            for q in np.unique(queue[own]):
-                rows = np.flatnonzero(own & (queue == q))
-                i, n = block[rows] - phase.first_block[q], int(phase.shares[q])
-                out[0][rows] = phase.start + i * self.period // n
-                out[1][rows] = phase.start - (-(i + 1) * self.period // n)
-                out[2][rows] = phase.start + i // n * self.period + phase.slots[q][i % n]
-        return out[0], out[1], out[2]
+        pairs, which = np.unique(np.stack([queue, block]), axis=1, return_inverse=True)
+        found = np.zeros((3, pairs.shape[1]), np.int64)
+        for i, (q, b) in enumerate(pairs.T.tolist()):
+            release, deadline = self.flow.window(q, b)
+            found[:, i] = release, deadline, self._slot(q, b, release, deadline)
+        return tuple(found[:, which.ravel()])
 
 
 def mix(

@@ -38,6 +38,22 @@ def test_used_up_sources_leave_and_slots_have_no_gaps():
     assert sorted(taken) == list(range(sum(blocks)))
 
 
+@pytest.mark.parametrize("weights", [[1 / 20] * 20, [0.36] + [0.64 / 19] * 19, [1.0, 1e-4, 3e-5], [3.0, 2.0, 1.3, 2**0.5]])
+def test_lag_stays_below_one_over_many_periods(weights):
+    period, n = 64, 40_000
+    w = np.array(weights) / sum(weights)
+    blocks = [int(n * x) + 1 for x in w]
+    table = Timetable(blocks, weights, period)
+    taken = []
+    for q, most in enumerate(blocks):
+        release, deadline, slot = table.find(np.full(most, q), np.arange(most))
+        assert (release <= slot).all() and (slot < deadline).all() and (np.diff(slot) > 0).all()
+        taken += slot.tolist()
+        t = np.arange(n)
+        assert np.abs(np.searchsorted(slot, t) - w[q] * t).max() < 1
+    assert sorted(taken) == list(range(sum(blocks)))
+
+
 def test_mixing_keeps_every_row_once(spark, awkward, no_docs):
     taken = awkward.withColumns({"slot": F.lit(1), "queue": F.lit("q")})
     mixed, names = mix(taken, block_docs=2, temperature=0.5)

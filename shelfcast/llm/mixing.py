@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.queues import by_case, fresh, largest_sources, queue_totals, with_offsets
+from shelfcast.llm.queues import fresh, queue_totals, source_names, with_offsets, with_queue
 from shelfcast.session import materialise
 
 #: Slots between two kept states of the schedule (more where there are many queues), from which tasks plan on.
@@ -205,8 +205,8 @@ def mix(
     """Every row once, with its place in the mixed stream; and the names of the added columns.
 
     Adds queue (name; null for the shared one), block, block_offset, release, deadline and slot: the stream is
-    the order of (slot, block_offset). Sources without a weight and null share a queue with the
-    weight under ``""`` (else the mean). Without weights a source's weight is its number of rows to the power of
+    the order of (slot, block_offset). With weights, the sources that have none share a queue with null and empty ones, with the
+    weight under ``""`` (else the mean). Without weights every source has a queue, at any number of them, and its weight is its number of rows to the power of
     ``temperature``: at 1 all sources last to the end of the stream, below 1 large sources are held back. A used-up source
     leaves and the rest go on in proportion: no row is dropped or repeated. The last block of a queue can be short.
 
@@ -216,17 +216,16 @@ def mix(
     if weights is not None:
         names = sorted(n for n in weights if n != "")
     else:
-        names = [n for n in largest_sources(docs, source, F.lit(1)) if n != ""]
+        names = source_names(docs, source)
     extra = fresh(docs.columns, "queue", "block", "block_offset", "release", "deadline", "slot")
     _, block, offset, release, deadline, slot = extra
     queue, part, before = fresh([*docs.columns, *extra], "queue_no", "part_no", "before_in_part")
     (base,) = fresh([*docs.columns, *extra, queue, part, before], "before_part")
-    named = docs.withColumns(
-        {queue: by_case(names, F.col(f"`{source}`").cast("string")).cast("int"), part: F.spark_partition_id()}
-    )
+    named = with_queue(docs, names, source, queue).withColumn(part, F.spark_partition_id())
+    queues = len(names) + 1
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(len(names) + 1, np.int64)
+        held = np.zeros(queues, np.int64)
         for batch in batches:
             q = batch.column(batch.num_columns - 2).to_numpy()
             seen = np.zeros(len(q), np.int64)
@@ -238,7 +237,7 @@ def mix(
 
     counted = T.StructType([*named.schema.fields, T.StructField(before, T.LongType())])
     placed = materialise(named.mapInArrow(number, counted), "mixing-rows").df
-    rows = queue_totals(placed, queue, F.lit(1), len(names) + 1)
+    rows = queue_totals(placed, queue, F.lit(1), queues)
     if weights is None:
         wanted = [float(n) ** temperature if n else 0.0 for n in rows]
     else:

@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.queues import by_case, fresh, largest_sources, queue_totals, with_offsets
+from shelfcast.llm.queues import fresh, queue_totals, source_names, with_offsets, with_queue
 from shelfcast.llm.text import slices
 from shelfcast.session import materialise
 
@@ -94,29 +94,29 @@ class Schedule:
         if any(w < 0 for w in weights) or any(t and not w for t, w in zip(totals, weights, strict=True)):
             raise ValueError("a queue that holds tokens needs a positive target")
         self.window, self.phases = window, []
-        left, given, at = list(totals), [0] * len(totals), 0
-        while any(left):
-            share = self._shares([w if n else 0.0 for w, n in zip(weights, left, strict=True)])
+        left, given, at = np.array(totals, np.int64), np.zeros(len(totals), np.int64), 0
+        weights = np.array(weights, np.float64)
+        while left.any():
+            share = self._shares(np.where(left > 0, weights, 0.0))
             high = np.cumsum(share)
             low = high - share
-            due = lambda q, r: (r * window * int(high[q])) // UNITS - (r * window * int(low[q])) // UNITS  # noqa: B023, E731
-            rounds = min(self._fits(lambda r, q=q: due(q, r) <= left[q], sum(left) // window + 1) for q in range(len(left)) if left[q])
-            taken = [due(q, rounds) if left[q] else 0 for q in range(len(left))]
-            last = [min(left[q] - taken[q], due(q, rounds + 1) - taken[q]) if left[q] else 0 for q in range(len(left))]
-            self.phases.append(Phase(at, rounds, low, high, np.array(given), np.array(last)))
-            at += rounds * window + sum(last)
-            given = [g + t + x for g, t, x in zip(given, taken, last, strict=True)]
-            left = [n - t - x for n, t, x in zip(left, taken, last, strict=True)]
+            due = lambda r: self._due(high, np.int64(r)) - self._due(low, np.int64(r))  # noqa: B023, E731
+            rounds = self._fits(lambda r: bool((due(r) <= left).all()), int(left.sum()) // window + 1)  # noqa: B023
+            taken = due(rounds)
+            last = np.minimum(left - taken, due(rounds + 1) - taken)
+            self.phases.append(Phase(at, rounds, low, high, given.copy(), last))
+            at += rounds * window + int(last.sum())
+            given, left = given + taken + last, left - taken - last
         self.total = at
 
     @staticmethod
-    def _shares(weights: list[float]) -> np.ndarray:
+    def _shares(weights: np.ndarray) -> np.ndarray:
         """Whole shares that add up to UNITS; at least one for each queue with a weight."""
-        w = np.array(weights, dtype=np.float64)
-        exact = w / w.sum() * (UNITS - len(w))
-        share = np.floor(exact).astype(np.int64) + (w > 0)
+        exact = weights / weights.sum() * UNITS
+        share = np.maximum(np.floor(exact).astype(np.int64), weights > 0)
         rest = UNITS - int(share.sum())
-        share[int(np.argmax(w))] += rest
+        share[np.argsort(share - exact, kind="stable")[: max(rest, 0)]] += 1  # largest remainders first
+        share[int(np.argmax(weights))] += min(rest, 0)
         return share
 
     @staticmethod
@@ -177,6 +177,60 @@ class Schedule:
         return a
 
 
+class Groups:
+    """A schedule of any number of queues.
+
+    One round of Schedule has to give each queue a token at least, else what is due would go back by one at times. So queues of
+    a smaller share are paired, level by level, until the pairs are large enough. A pair has the tokens and the weight
+    of both and takes turns token by token, so each keeps its own proportion. Paired are neighbours in the order in
+    which queues are used up, so that the pair's weight holds for both nearly to the end.
+    """
+
+    def __init__(self, totals: list[int], weights: list[float], window: int):
+        if any(w < 0 for w in weights) or any(t and not w for t, w in zip(totals, weights, strict=True)):
+            raise ValueError("a queue that holds tokens needs a positive target")
+        total, weight = np.array(totals, np.int64), np.array(weights, np.float64)
+        self.levels: list[tuple[np.ndarray, np.ndarray, list[Schedule | None]]] = []
+        while True:
+            weight = np.where(total > 0, weight, 0.0)
+            tiny = (total > 0) & (weight * window < 1.01 * weight.sum())
+            lasts = np.divide(total, weight, out=np.zeros(len(total)), where=weight > 0)
+            order = [int(q) for q in np.argsort(lasts, kind="stable") if total[q]]
+            if len(order) < 2 or not tiny.any():
+                break
+            sets, at = [], 0
+            while at < len(order):
+                sets.append(order[at : at + (2 if tiny[order[at]] else 1)])
+                at += len(sets[-1])
+            if len(sets[-1]) == 1 and tiny[sets[-1][0]] and len(sets[-2]) == 1:
+                sets[-2:] = [sets[-2] + sets[-1]]
+            above, member = np.zeros(len(total), np.int64), np.zeros(len(total), np.int64)
+            for g, own in enumerate(sets):
+                above[own], member[own] = g, range(len(own))
+            pairs = [Schedule(total[own].tolist(), weight[own].tolist(), 1) if len(own) > 1 else None for own in sets]
+            self.levels.append((above, member, pairs))
+            total, weight = np.array([total[own].sum() for own in sets]), np.array([weight[own].sum() for own in sets])
+        self.top = Schedule(total.tolist(), weight.tolist(), window)
+
+    def pieces(self, queue: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(row, start in the row, length, place in the packed stream) of every piece."""
+        some = np.flatnonzero(size > 0)
+        row, begin, queue, start, size = some, np.zeros(len(some), np.int64), queue[some], start[some], size[some]
+        for above, member, pairs in self.levels:
+            order = np.argsort(above[queue], kind="stable")
+            groups, firsts = np.unique(above[queue][order], return_index=True)
+            found = [[row[:0], begin[:0], size[:0], start[:0], queue[:0]]]
+            for g, own in zip(groups.tolist(), np.split(order, firsts[1:]), strict=True):
+                if pairs[g] is None:
+                    found.append([row[own], begin[own], size[own], start[own], np.full(len(own), g)])
+                    continue
+                for r, b, n, at in pairs[g].pieces(member[queue[own]], start[own], size[own]):
+                    found.append([row[own[r]], begin[own[r]] + b, n, at, np.full(len(r), g)])
+            row, begin, size, start, queue = (np.concatenate(x) for x in zip(*found, strict=True))
+        for r, b, n, at in self.top.pieces(queue, start, size):
+            yield row[r], begin[r] + b, n, at
+
+
 def pack(
     docs: DataFrame,
     targets: Mapping[str, float] | None = None,
@@ -192,8 +246,7 @@ def pack(
     queue with the weight under the key ``""`` (their mean weight if there is none). Without targets
     every source's share is its share of all tokens, so all queues last to the end and
     every window has the target mixture. When a queue is used up, the rest go on in proportion. Only the last window
-    can be short. Queues are kept apart for the 512 sources with most characters; further ones
-    share a queue.
+    can be short. Every source has its own queue, at any number of them: those of a very small share are scheduled in pairs (see Groups).
 
     Returns one row per piece: ``doc_id, start, length, ids`` (little-endian unsigned 32-bit),
     ``doc_tokens, sequence_id, offset, source_queue``. A null or empty text is the closing id 0
@@ -202,18 +255,16 @@ def pack(
     A text of any length is cut where windows end.
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
-    names = sorted(targets) if targets is not None else largest_sources(docs, source, F.coalesce(F.length(text), F.lit(0)))
-    names = [n for n in names if n != ""]
+    names = sorted(n for n in targets if n != "") if targets is not None else source_names(docs, source)
+    queues = len(names) + 1
     narrow = docs.select(
-        F.col(f"`{id_column}`").alias("doc_id"),
-        F.col(f"`{text}`").alias("text"),
-        by_case(names, F.col(f"`{source}`").cast("string")).cast("int").alias("queue"),
-        F.spark_partition_id().alias("part"),
+        F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source")
     )
+    narrow = with_queue(narrow, names, "source", "queue").drop("source").withColumn("part", F.spark_partition_id())
     id_type = narrow.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(len(names) + 1, np.int64)
+        held = np.zeros(queues, np.int64)
         checked = False
         for batch in slices(batches, "text"):
             tokens = _tokens(path)
@@ -237,13 +288,13 @@ def pack(
 
     schema = f"doc_id {id_type}, queue int, part int, before_in_part long, size long, ids binary"
     placed = materialise(narrow.mapInArrow(encode, schema), "packing-tokens").df
-    totals = queue_totals(placed, "queue", F.col("size"), len(names) + 1)
+    totals = queue_totals(placed, "queue", F.col("size"), queues)
     if targets is None:
         weights = [float(t) for t in totals]
     else:
         rest = targets.get("", sum(targets.values()) / max(1, len(targets)) or 1.0)
         weights = [float(targets[n]) for n in names] + [float(rest)]
-    schedule = Schedule(totals, weights, window)
+    schedule = Groups(totals, weights, window)
     ready = with_offsets(placed, "queue", "part", F.col("size"), "before_part")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,14 +7,15 @@ partition is shuffled.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import attach
 from shelfcast.session import materialise
 
-#: Queues by name; all further sources and rows without one share a last queue, nothing is left out.
-MAX_QUEUES = 512
+#: Names that are looked up in a map inside the plan; more are joined, with the same result.
+MAP_NAMES = 512
 _BLOCK = 1024
 
 
@@ -38,11 +39,22 @@ def by_case(names: list[str], key: Column) -> Column:
     return F.coalesce(places[key], F.lit(len(names)))
 
 
-def largest_sources(docs: DataFrame, source: str, amount: Column, most: int = MAX_QUEUES) -> list[str]:
-    """Names of the ``most`` largest sources (ties by name), by name; at most ``most`` reach the driver."""
-    name = F.col(f"`{source}`").cast("string")
-    sizes = docs.groupBy(name.alias("name")).agg(F.sum(amount).alias("size")).dropna(subset=["name"])
-    return sorted(r["name"] for r in sizes.orderBy(F.desc("size"), "name").limit(most).collect())
+def source_names(docs: DataFrame, source: str) -> list[str]:
+    """Names of all sources but null and empty, by name; the driver holds them all."""
+    name = F.col(f"`{source}`").cast("string").alias("name")
+    return sorted(r["name"] for r in docs.select(name).distinct().collect() if r["name"])
+
+
+def with_queue(docs: DataFrame, names: list[str], source: str, queue: str) -> DataFrame:
+    """``docs`` with the place of the source among ``names`` as ``queue``; the number of names for any other and for null."""
+    key = F.col(f"`{source}`").cast("string")
+    if len(names) <= MAP_NAMES:
+        return docs.withColumn(queue, by_case(names, key).cast("int"))
+    (name,) = fresh([*docs.columns, queue], "queue_name")
+    places = pa.table({name: pa.array(names, pa.string()), queue: pa.array(range(len(names)), pa.int32())})
+    found = attach(docs.withColumn(name, key), docs.sparkSession.createDataFrame(places), [name])
+    place = F.coalesce(F.col(queue), F.lit(len(names))).cast("int")
+    return found.select(*(F.col(f"`{c}`") for c in docs.columns), place.alias(queue))
 
 
 def mixture_weights(docs: DataFrame, source: str, temperature: float) -> dict[str, float]:
@@ -76,9 +88,9 @@ def with_offsets(placed: DataFrame, queue: str, part: str, amount: Column, name:
 
 
 def queue_totals(placed: DataFrame, queue: str, amount: Column, queues: int) -> list[int]:
-    """Total of each queue, on the driver: one number per queue, so bounded by MAX_QUEUES + 1."""
+    """Total of each queue, on the driver: one number per queue."""
     found = {r[0]: r[1] for r in placed.groupBy(queue).agg(F.sum(amount).cast("long")).collect()}
     return [int(found.get(q) or 0) for q in range(queues)]
 
 
-__all__ = ["MAX_QUEUES", "by_case", "fresh", "largest_sources", "materialise", "mixture_weights", "offsets", "queue_totals", "with_offsets"]
+__all__ = ["MAP_NAMES", "by_case", "fresh", "materialise", "mixture_weights", "offsets", "queue_totals", "source_names", "with_offsets", "with_queue"]

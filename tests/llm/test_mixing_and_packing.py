@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfcast.llm.mixing import Timetable, earliest_deadline_first, in_order, mix, period_shares, windows
-from shelfcast.llm.packing import Schedule, Tokens, pack, with_checksum
+from shelfcast.llm.packing import Groups, Schedule, Tokens, pack, with_checksum
 from shelfcast.llm.queues import offsets
 
 
@@ -157,3 +157,35 @@ def test_packing_checksums_and_empty_table(spark, tiny, no_docs):
     for r in with_checksum(pieces).join(pieces.select("doc_id", "start", "ids"), ["doc_id", "start"]).limit(50).collect():
         assert r["ids_crc32"] == zlib.crc32(r["ids"])
     assert pack(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("temperature", [1.0, 0.5])
+@pytest.mark.parametrize("small", [[1], [5, 7, 1, 1, 30], [*range(300, 400)] * 7])
+def test_packing_keeps_the_proportion_of_many_and_of_tiny_queues(temperature, small):
+    totals = [0, 90_000, 20_000, *small]
+    weights, n = [float(t) ** temperature for t in totals], len(totals)
+    plan = Groups(totals, weights, 1024)
+    owner = np.full(sum(totals), -1)
+    for row, begin, length, place in plan.pieces(np.arange(n), np.zeros(n, np.int64), np.array(totals)):
+        for r, m, at in zip(row, length, place, strict=True):
+            assert (owner[at : at + m] == -1).all()
+            owner[at : at + m] = r
+    assert np.bincount(owner, minlength=n).tolist() == totals
+    lasts = min(int(np.flatnonzero(owner == q).max()) for q, t in enumerate(totals) if t)
+    share = np.array(weights) / sum(weights)
+    for end in range(1024, lasts - 2 * 1024, 1024):
+        assert np.abs(np.bincount(owner[:end], minlength=n) - share * end).max() < 3
+    assert lasts > 20 * 1024 or len(small) < 100
+
+
+def test_mixing_and_packing_keep_every_source_apart(spark):
+    docs = spark.range(8 * 600).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 600).alias("source"), F.lit("a b c").alias("text")
+    )
+    rows = mix(docs, block_docs=4, temperature=0.5)[0].collect()
+    assert all(r["queue"] == r["source"] for r in rows)
+    by_slot = Counter(r["queue"] for r in rows if r["slot"] < 600)
+    assert len(by_slot) == 600 and set(by_slot.values()) == {4}
+    pieces = pack(docs).collect()
+    assert {r["source_queue"] for r in pieces} == set(range(600))
+    assert sum(r["length"] for r in pieces) == sum(r["doc_tokens"] for r in pieces if r["start"] == 0)

@@ -69,8 +69,7 @@ def rotate(
     pieces = placed.groupBy("conv", "segment", "lone", "sub_segment").agg(
         F.first("conv_id").alias("conv_id"), F.array_sort(F.collect_list(F.struct("at", "tie", "who", "said"))).alias("turns")
     )
-    people = once.filter(~F.col("who").isin(*context)).groupBy("conv").agg(F.collect_set("who").alias("people"))
-    each = people.select("conv", F.explode("people").alias("assistant"))
+    each = once.filter(~F.col("who").isin(*context)).select("conv", F.col("who").alias("assistant")).distinct()
     return pieces.join(each, "conv").select(
         "conv_id",
         "segment",

@@ -195,3 +195,12 @@ def test_long_and_crowded_dialogues_come_in_small_segments(spark):
         assert sum(r["n_masked"] for r in own) == total
     first = sorted((r["segment"], r["text"]) for r in found if r["conv_id"] == 1 and r["assistant"] == "a")
     assert [int(t) for t in re.findall(r"\nt(\d+)", "".join(t for _, t in first))] == list(range(500))
+
+
+def test_speakers_of_a_conversation_are_never_gathered_in_a_row(spark):
+    from shelfcast.llm.perspectives import rotate
+
+    made = [("c", i, f"s{i % 300}", "x") for i in range(600)]
+    out = rotate(spark.createDataFrame(made, "conv_id string, turn int, role string, text string"))
+    assert "collect_set" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.select("assistant").distinct().count() == 300 and out.count() == 300 * 10

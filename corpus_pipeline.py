@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,21 +14,42 @@ from shelfcast.llm.packing import pack
 from shelfcast.llm.quality_model import score, train
 from shelfcast.llm.quality_rules import repetition
 from shelfcast.llm.queries import TEMPERATURE
-from shelfcast.llm.queues import mixture_weights
+from shelfcast.llm.queues import fresh, mixture_weights
 from shelfcast.session import materialise, tune
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Columns that the stages read; all others are moved aside, so that none is taken for a stage's own verdict.
+READ = ("doc_id", "text", "source", "n_chars")
+
+
+def apart(stage: Stage) -> Stage:
+    """The stage, run with the columns that it does not read under other names."""
+
+    @wraps(stage)
+    def run_apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in READ]
+        moved = dict(zip(others, fresh(docs.columns, *(f"aside_{i}" for i in range(len(others)))), strict=True))
+        out = stage(spark, docs.withColumnsRenamed(moved), sf_dir)
+        return out.withColumnsRenamed({new: old for old, new in moved.items()})
+
+    return run_apart
+
+
+@apart
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are not mostly repetition."""
     return repetition(docs).filter("kept").select(*docs.columns)
 
 
+@apart
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted on the labels, does not reject."""
     machine = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, machine).filter("predicted = 1").select(*docs.columns)
 
 
+@apart
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
     return one_per_class(near_classes(docs)).select(*docs.columns)

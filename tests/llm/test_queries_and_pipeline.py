@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
@@ -130,3 +131,17 @@ def test_packed_windows_have_the_target_shares_of_the_mixture(spark, tiny):
     for s in range(last):
         for q, w in enumerate(weights):
             assert abs(got[s][q] - 1024 * w / sum(weights)) < 2
+
+
+def test_stages_do_not_take_input_columns_for_their_verdicts(spark, awkward, tiny):
+    taken = {"kept": "no", "predicted": "x", "n_class": "y", "class_id": "z", "n_words": "many"}
+    docs = awkward
+    for name, value in taken.items():
+        docs = docs.withColumn(name, F.lit(value))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        rows = stage(spark, docs, tiny)
+        assert rows.dtypes == docs.dtypes
+        plain = stage(spark, awkward, tiny)
+        found = rows.collect()
+        assert Counter((r["doc_id"], r["text"]) for r in found) == Counter((r["doc_id"], r["text"]) for r in plain.collect())
+        assert all(r[name] == value for r in found for name, value in taken.items())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.archive import read_archive, write_archive
+from shelfcast.llm.fingerprints import fingerprints
 from shelfcast.llm.mixing import mix
 from shelfcast.llm.near_texts import near_classes
 from shelfcast.llm.near_vectors import near_links
@@ -190,3 +191,8 @@ SELECT conv_id, CAST(0 AS bigint) AS segment, CAST(0 AS bigint) AS sub_segment,
   count(*) FILTER (WHERE own) AS n_masked, string_agg(head || body, '' ORDER BY turn) AS text,
   coalesce(string_agg(CASE WHEN own THEN (stop - length(body)) || '-' || stop END, ',' ORDER BY turn), '') AS mask
 FROM placed GROUP BY conv_id, assistant"""
+
+
+@_query
+def op11_order_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents").select("doc_id", "text"))

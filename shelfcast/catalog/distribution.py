@@ -64,30 +64,41 @@ def cap_target(spark, d):
     return D.cap(train, D.iqr_limits(train, ["sales"], k=0.3)).withColumn("sales", near("sales"))
 
 
-def grid_sql(name, low, count, step):
+def likelihood_sql(name, grid):
+    """Log-likelihood of every power of ``grid`` from the counted values."""
+    y = "CASE WHEN power = 0 THEN lx ELSE (exp(power * lx) - 1) / power END"
     return (
-        f"{name} AS (SELECT power, (power - 1) * sum(ln(x)) - count(*) / 2.0 * ln(var_pop("
-        "CASE WHEN power = 0 THEN ln(x) ELSE (pow(x, power) - 1) / power END)) AS log_likelihood "
-        f"FROM (SELECT round({low} + i * {step}, 10) AS power FROM range({count}) t(i)), "
-        "(SELECT visibility + 0.000001::double AS x FROM rv) GROUP BY power)"
+        f"{name} AS (SELECT power, (power - 1) * sum(n * lx) - sum(n) / 2.0 * ln(sum(n * y * y) / sum(n) - pow(sum(n * y) / sum(n), 2)) "
+        f"AS log_likelihood FROM (SELECT power, lx, n, {y} AS y FROM ({grid}), counted) GROUP BY power)"
     )
 
 
+def section_steps(levels=7):
+    """The bracket around the best of 17 powers, narrowed eight times a level."""
+    steps = ["counted AS (SELECT ln(visibility + 0.000001::double) AS lx, CAST(count(*) AS double) AS n FROM rv GROUP BY visibility)"]
+    centre = "0.0::double"
+    for level in range(levels):
+        width = 0.25 / 8**level
+        steps.append(likelihood_sql(f"s{level}", f"SELECT {centre} + (i - 8) * {width!r}::double AS power FROM range(17) t(i)"))
+        centre = f"(SELECT max_by(power, log_likelihood) FROM s{level})"
+    return [*steps, f"fitted AS (SELECT {centre} AS best)"]
+
+
 @query(
     "boxcox_fit",
     check(
-        f"SELECT power, {near_sql('log_likelihood', 2)} AS log_likelihood FROM fine",
-        grid_sql("coarse", "-2.0::double", 41, "0.1::double"),
-        "best AS (SELECT max_by(power, log_likelihood) AS b FROM coarse)",
-        grid_sql("fine", "(SELECT b FROM best) - 0.1::double", 21, "0.01::double"),
+        f"SELECT power, {near_sql('log_likelihood', 2)} AS log_likelihood, {near_sql('best')} AS best FROM coarse, fitted",
+        *section_steps(),
+        likelihood_sql("coarse", "SELECT round(-2.0::double + i * 0.1::double, 10) AS power FROM range(41) t(i)"),
     ),
 )
 def boxcox_fit(spark, d):
-    """The fine grid around the best power of the coarse one."""
-    rows = view(spark, d, "visibility", spread=True)
-    best = D.fit_box_cox(rows, "visibility", steps=(0.1,))
-    grid = D.power_grid(best - 0.1, best + 0.1, 0.01)
-    return D.box_cox_scores(rows, "visibility", 1e-6, grid).withColumn("log_likelihood", near("log_likelihood", 2))
+    """The likelihood of a grid of powers, and the fitted power."""
+    counted = D.counted_logs(view(spark, d, "visibility", spread=True), "visibility")
+    best, grid = D.best_power(counted.likelihoods), D.power_grid(-2.0, 2.0, 0.1)
+    rows = list(zip(grid, counted.likelihoods(grid), strict=True))
+    found = spark.createDataFrame(rows, "power double, log_likelihood double")
+    return found.select("power", near("log_likelihood", 2).alias("log_likelihood"), near(F.lit(best)).alias("best"))
 
 
 @query(

@@ -8,7 +8,7 @@ from shelfcast.catalog.common import check, near, near_sql, query, view
 from shelfcast.functions import scalar as S
 from shelfcast.operators import impute as I
 from shelfcast.operators.groupstats import group_stats, mean_of, median_of
-from shelfcast.operators.knn import fill_knn, neighbours
+from shelfcast.operators.knn import coded_blocks, fill_knn, neighbours
 
 K = ["okey", "line"]
 
@@ -239,13 +239,8 @@ def fill_cold_start(spark, d):
 def knn_rows(spark, d):
     """Codes of location and type (alphabetical), outlet age and price, as the neighbours see them."""
     rows = view(spark, d, *K, "loc", "otype", "est_year", "mrp", "size", spread=True)
-    types = ["Grocery Store", "Supermarket Type1", "Supermarket Type2", "Supermarket Type3"]
-    codes = {
-        "l": S.last_digit("loc") - 1,
-        "t": S.map_value("otype", {name: i for i, name in enumerate(types)}),
-        "y": S.age("est_year"),
-    }
-    return rows, codes
+    codes = {"l": F.col("l"), "t": F.col("t"), "y": S.age("est_year")}
+    return coded_blocks(rows, {"l": "loc", "t": "otype"}), codes
 
 
 KNN_STEPS = (

@@ -191,7 +191,7 @@ def share(spark, d, key, by_bin):
     rows = split(view(spark, d, "source", key, "item_id", *(["mrp"] if by_bin else [])))[0]
     value = S.bin_left_closed("mrp", S.PRICE_EDGES, S.PRICE_LABELS) if by_bin else category()
     outputs = BIN_SHARES if by_bin else CATEGORY_SHARES
-    shares = G.distinct_share(rows.withColumn("c", value), key, "c", "item_id", outputs)
+    shares = G.distinct_share(rows.withColumn("c", value), key, "c", "item_id", outputs, complete=True)
     return shares.withColumns({c: near(c, 6) for c in outputs.values()})
 
 

@@ -276,6 +276,11 @@ TEXTS = ["Item_Fat_Content", "Outlet_Size", "MRP_Bin", "Outlet_Era", "Location_x
 NUMBERS = ["Item_Weight", "Item_Visibility", *[c for c in ENGINEERED_FEATURES if c not in TEXTS]]
 
 
+def digits(feature: str) -> int:
+    """Decimals that are compared: sums of sales differ between engines from about the tenth significant digit on."""
+    return 4 if feature in ("Outlet_Mean_Sales", "Loc_Cat_Sales_Mean", "Item_MRP_sq") else 7
+
+
 def _profile_sql() -> str:
     """The plan's feature table, each feature from its definition."""
     fat = (
@@ -293,8 +298,9 @@ def _profile_sql() -> str:
         f"w1 AS (SELECT cat.*, coalesce(weight, m) AS w1, nullif(visibility, 0) AS x, {fat} AS fat2, {bins} AS bin, coalesce(size, 'Small') AS size2 FROM cat LEFT JOIN im ON cat.item_id = im.item_id)",
         "w2 AS (SELECT *, coalesce(w1, avg(w1) OVER (PARTITION BY source, item_type)) AS w, coalesce(x, avg(x) OVER (PARTITION BY source, outlet_id, item_type)) AS x1 FROM w1)",
         "g0 AS (SELECT *, coalesce(x1, avg(x1) OVER (PARTITION BY source, item_type)) AS vis FROM w2)",
-        f"g AS (SELECT *, {rank_sql('mrp')} AS price_rank FROM g0)",
         # The filled visibilities are means, whose last bits differ between engines: ranked as rounded.
+        "g1 AS (SELECT *, round(vis, 9) AS vis9 FROM g0)",
+        f"g AS (SELECT *, {rank_sql('mrp')} AS price_rank, {rank_sql('vis9')} AS vis_rank FROM g1)",
         "tr AS (SELECT * FROM g WHERE source = 'train')",
         "it AS (SELECT item_id, avg(vis) AS iv, CAST(count(*) AS double) AS n, CAST(2013 - min(est_year) AS double) AS age FROM tr GROUP BY item_id)",
         f"ou AS (SELECT outlet_id, CAST(count(DISTINCT item_id) AS double) AS oc, avg(sales) AS os, avg(mrp) AS om, {shares('category', cats)}, "
@@ -341,6 +347,7 @@ def _profile_sql() -> str:
         "Item_MRP_sq": "mrp * mrp",
         "Outlet_Sales_Efficiency": f"coalesce({oof_value('o', True)}, (SELECT avg(s / (p + 0.000001)) FROM o_t))",
         "Price_Rank_in_Category": "price_rank",
+        "Visibility_Rank_in_Category": "vis_rank",
     }
     text = {
         "Item_Fat_Content": "fat2",
@@ -350,7 +357,7 @@ def _profile_sql() -> str:
         "Location_x_Type": "rv.loc || '_' || rv.otype",
     }
     columns = ["rv.okey", "rv.line", "rv.source"]
-    columns += [f"{near_sql(e)} AS {n}" for n, e in value.items()] + [f"{e} AS {n}" for n, e in text.items()]
+    columns += [f"{near_sql(e, digits(n))} AS {n}" for n, e in value.items()] + [f"{e} AS {n}" for n, e in text.items()]
     joins = (
         "LEFT JOIN it ON rv.item_id = it.item_id LEFT JOIN ou ON rv.outlet_id = ou.outlet_id LEFT JOIN ot ON rv.otype = ot.otype "
         "LEFT JOIN ty ON rv.item_type = ty.item_type LEFT JOIN se ON rv.outlet_id = se.outlet_id AND rv.item_type = se.item_type "
@@ -362,14 +369,9 @@ def _profile_sql() -> str:
 
 @query("profile_features", _profile_sql())
 def profile_feature_table(spark, d):
-    """All features of the profile plan before encoding.
-
-    The visibility rank is left to ``pct_rank_avg``: its input holds filled means whose
-    last bits, and hence ties, differ between engines.
-    """
+    """All features of the profile plan before encoding."""
     table = profile_features(view(spark, d, spread=True), VIEW_ROLES, PREFIX_CATEGORY, FOLDS)
-    numbers = [c for c in NUMBERS if c != "Visibility_Rank_in_Category"]
-    return table.select(*K, F.col("_source").alias("source"), *[near(F.col(c).cast("double")).alias(c) for c in numbers], *TEXTS)
+    return table.select(*K, F.col("_source").alias("source"), *[near(F.col(c).cast("double"), digits(c)).alias(c) for c in NUMBERS], *TEXTS)
 
 
 PROFILE_SETTINGS = {"trials": 2, "rounds": 6, "patience": 3, "search_patience": 3, "space": {**TRIAL_SPACE, "max_depth": ("int", 3, 4)}}

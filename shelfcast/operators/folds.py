@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,12 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.groupstats import group_stats, mean_of
 from shelfcast.operators.joins import attach
+from shelfcast.operators.order_stats import running_totals
 from shelfcast.session import materialise
 
+#: Text that stands for a null key in a hash; no null compares equal to it by chance of its spelling.
+_NULL = "\x00"
+
 
 def fold_by_hash(keys: Sequence[str], folds: int, seed: int = 0) -> Column:
     """Fold number from a hash of the key columns: the same on every run and partitioning."""
@@ -30,6 +35,37 @@ def holdout(mixed_fold: Column, names: tuple[str, str] = ("fit", "holdout")) ->
     return F.when(mixed_fold == 0, names[1]).otherwise(names[0])
 
 
+def shuffle_hash(keys: Sequence[str], seed: int = 0) -> Column:
+    """MD5 of the seed and the keys, joined by ``|``: a shuffled order that any engine can repeat."""
+    texts = [F.coalesce(F.col(k).cast("string"), F.lit(_NULL)) for k in keys]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *texts).cast("binary"))
+
+
+def shuffled_rank(df: DataFrame, keys: Sequence[str], seed: int = 0, out: str = "rank") -> DataFrame:
+    """``df`` with each row's place, from 0 and without gaps, in the order of ``shuffle_hash``.
+
+    Places are counted in range partitions of the hash, so no task sorts the table. Rows with equal keys have neighbouring places; a
+    salt spreads them over the ranges, so a key that most rows share does no harm.
+    """
+    salted = df.withColumns({"_hash": shuffle_hash(keys, seed), "_salt": F.xxhash64(F.monotonically_increasing_id())})
+    return running_totals(salted, [], ["_hash", "_salt"], {out: None}).drop("_hash", "_salt")
+
+
+def balanced_folds(df: DataFrame, keys: Sequence[str], folds: int, seed: int = 0, out: str = "fold") -> DataFrame:
+    """Shuffled folds whose sizes differ by at most one row."""
+    ranked = shuffled_rank(df, keys, seed, "_rank")
+    return ranked.withColumn(out, (F.col("_rank") % folds).cast("int")).drop("_rank")
+
+
+def exact_holdout(
+    df: DataFrame, keys: Sequence[str], share: float = 0.2, seed: int = 0, out: str = "part", names: tuple[str, str] = ("fit", "holdout")
+) -> DataFrame:
+    """Shuffled holdout of exactly ``ceil(share * rows)`` rows."""
+    ranked = materialise(shuffled_rank(df, keys, seed, "_rank"), "ranked")
+    held = math.ceil(round(share * ranked.rows, 9))
+    return ranked.df.withColumn(out, F.when(F.col("_rank") < held, names[1]).otherwise(names[0])).drop("_rank")
+
+
 def other_fold_aggregates(fold: str, folds: int, values: Mapping[str, str | Column]) -> dict[str, Column]:
     """Aggregates for the sum and count of each value, whole and without each fold.
 

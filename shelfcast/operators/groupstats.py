@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import attach
 from shelfcast.operators.order_stats import group_quantile
+from shelfcast.session import Table, materialise
 
 
 def group_stats(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
@@ -55,14 +57,59 @@ def ratio_to_mean(
     return joined.withColumn(out, result).drop(mean)
 
 
+#: Values that one mask of bits can tell apart.
+MASK_BITS = 62
+
+
+def value_mask(value: str | Column, values: Sequence) -> Column:
+    """The set of values that occur, as bits: an aggregate that merges by ``bit_or``. Other values and null leave no bit."""
+    if len(values) > MASK_BITS:
+        raise ValueError(f"a mask holds {MASK_BITS} values")
+    value = F.col(value) if isinstance(value, str) else value
+    bit = F.lit(0).cast("long")
+    for i, v in enumerate(values):
+        bit = F.when(value == F.lit(v), F.lit(1 << i).cast("long")).otherwise(bit)
+    return F.bit_or(F.coalesce(bit, F.lit(0).cast("long")))
+
+
+def mask_counts(mask: str, names: Sequence[str], counted: Column | None = None) -> dict[str, Column]:
+    """Aggregates over one row per (group, item): how many items have each bit. They add up, so larger groups follow."""
+    has = F.lit(True) if counted is None else counted
+    return {name: F.count_if(has & (F.getbit(F.col(mask), F.lit(i)) == 1)) for i, name in enumerate(names)}
+
+
+def shares_of(counts: Sequence[str], outputs: Sequence[str]) -> dict[str, Column]:
+    """Each count over the sum of all, null where that is 0."""
+    total = reduce(lambda a, b: a + b, [F.col(c) for c in counts])
+    return {out: F.try_divide(F.col(c), total) for c, out in zip(counts, outputs, strict=True)}
+
+
 def distinct_share(
-    df: DataFrame, key: str, category: str, item: str, outputs: Mapping[str, str]
+    df: DataFrame, key: str, category: str, item: str, outputs: Mapping[str, str], complete: bool = False
 ) -> DataFrame:
     """Per key, the share of its distinct items in each category.
 
     The divisor is the sum over all categories of distinct items per category, so an
-    item in two categories counts twice. ``outputs`` maps category to column name.
+    item in two categories counts twice. ``outputs`` maps category to column name; ``complete`` says that there are no other
+    categories, else they are looked up first.
+
+    The categories of an item become bits, which merge in the partial aggregation, so no distinct triples are shuffled.
     """
+    values = list(outputs)
+    if not complete:
+        others = df.select(category).dropna().distinct().filter(~F.col(category).isin(values)).orderBy(category)
+        values += [r[0] for r in others.limit(MASK_BITS + 1).collect()]
+    if len(values) > MASK_BITS:
+        return _distinct_share_of_many(df, key, category, item, outputs)
+    masks = df.dropna(subset=[key, category, item]).groupBy(key, item).agg(value_mask(category, values).alias("_mask"))
+    names = [f"_n_{i}" for i in range(len(values))]
+    counts = masks.groupBy(key).agg(*[c.alias(n) for n, c in mask_counts("_mask", names).items()])
+    shares = shares_of(names, [*outputs.values(), *names[len(outputs) :]])
+    return counts.select(key, *[shares[name].alias(name) for name in outputs.values()])
+
+
+def _distinct_share_of_many(df: DataFrame, key: str, category: str, item: str, outputs: Mapping[str, str]) -> DataFrame:
+    """``distinct_share`` with more categories than bits."""
     pairs = df.select(key, category, item).dropna().distinct()
     counts = pairs.groupBy(key).agg(
         F.count(F.lit(1)).alias("_all"),
@@ -74,6 +121,26 @@ def distinct_share(
     )
 
 
+def rollup(cells: DataFrame, sets: Sequence[Sequence[str]], merge: Mapping[str, Column]) -> dict[tuple[str, ...], Table]:
+    """Statistics of several groupings from one aggregation of a cell table, written once.
+
+    ``merge`` holds the aggregates that add cells up. Each grouping comes back as a table of its keys and them, with its
+    measured size; groups of which all keys are null are left out.
+    """
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    grouped = cells.groupingSets([[F.col(k) for k in s] for s in sets], *keys)
+    table = materialise(grouped.agg(F.grouping_id().alias("_set"), *[a.alias(n) for n, a in merge.items()]), "rollup")
+    numbers = {tuple(s): sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in s) for s in sets}
+    rows = {r["_set"]: r["count"] for r in table.df.groupBy("_set").count().collect()}
+    found = {}
+    for s, number in numbers.items():
+        some = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in s])
+        part = table.df.filter((F.col("_set") == number) & some).select(*s, *merge)
+        n = rows.get(number, 0)
+        found[s] = Table(part, n, -(-table.bytes * n // max(table.rows, 1)))
+    return found
+
+
 def item_first_year(df: DataFrame, item: str, year: str, reference_year: int, out: str) -> DataFrame:
     """Years since the earliest outlet that carries the item."""
     return group_stats(df, [item], **{out: F.lit(reference_year) - F.min(year)})

@@ -8,9 +8,10 @@ repeating the joins of the steps before.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,6 +141,18 @@ def fill_rule(df: DataFrame, by: str, value: str, rule: Mapping[str, str], defau
     return ruled.withColumn(value, F.coalesce(F.col(value), global_mode(ruled, value)))
 
 
+def best_clusters(points: DataFrame, features: str, weight: str, clusters: int, starts: int = 10, seed: int = 42) -> tuple[KMeansModel, list[float]]:
+    """The KMeans model of lowest weighted cost among ``starts`` seeded starts, and the cost of every start."""
+
+    def one(start: int) -> KMeansModel:
+        return KMeans(k=clusters, seed=seed + start, featuresCol=features, predictionCol="_cluster", weightCol=weight).fit(points)
+
+    with ThreadPoolExecutor(4) as pool:
+        models = list(pool.map(one, range(starts)))
+    costs = [m.summary.trainingCost for m in models]
+    return models[min(range(starts), key=costs.__getitem__)], costs
+
+
 def fill_cluster_mode(
     df: DataFrame,
     location: str,
@@ -149,25 +162,25 @@ def fill_cluster_mode(
     unknown: str,
     clusters: int = 3,
     seed: int = 42,
+    starts: int = 10,
 ) -> DataFrame:
     """Mode per (cluster of location and type, type).
 
     Clusters are learned on the distinct pairs weighted by their rows, which has the
-    same optimum as clustering every row.
+    same optimum as clustering every row. The pairs are counted and written once, and the best of several starts counts.
     """
     pairs = df.dropna(subset=[location, outlet_type]).groupBy(location, outlet_type).agg(
         F.count(F.lit(1)).cast("double").alias("_rows")
     )
+    pairs = materialise(pairs, "pairs").df
     codes = [
         StringIndexer(inputCol=c, outputCol=f"_code_{i}", stringOrderType="alphabetAsc")
         for i, c in enumerate((location, outlet_type))
     ]
-    steps = [
-        *codes,
-        VectorAssembler(inputCols=["_code_0", "_code_1"], outputCol="_point"),
-        KMeans(k=clusters, seed=seed, featuresCol="_point", predictionCol="_cluster", weightCol="_rows"),
-    ]
-    clustered = Pipeline(stages=steps).fit(pairs).transform(pairs).select(location, outlet_type, "_cluster")
+    steps = [*codes, VectorAssembler(inputCols=["_code_0", "_code_1"], outputCol="_point")]
+    points = Pipeline(stages=steps).fit(pairs).transform(pairs)
+    model, _ = best_clusters(points, "_point", "_rows", clusters, starts, seed)
+    clustered = model.transform(points).select(location, outlet_type, "_cluster")
     sizes = df.groupBy(location, outlet_type, value).agg(F.count(F.lit(1)).alias("_n"))
     cells = sizes.join(clustered, [location, outlet_type]).groupBy("_cluster", outlet_type, value).agg(
         F.sum("_n").alias("_n")

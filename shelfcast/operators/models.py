@@ -9,12 +9,15 @@ from __future__ import annotations
 import json
 import math
 import random
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import ArithmeticException, IllegalArgumentException
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
@@ -26,6 +29,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
@@ -84,7 +88,7 @@ def linear(
     reg_param: float, l1: bool, degree: int = 1, scaled: DataFrame | None = None, indicators: str | None = None,
     tolerance: float = 1e-6, iterations: int = 1000,
 ) -> Pipeline:
-    """Penalised linear model on polynomial terms, fitted by iterations at every number of terms.
+    """Penalised linear model on polynomial terms: any number of them, up to 4,096 from a single pass over the rows.
 
     ``scaled`` is the part that the pipeline is fitted on, if its features are to be scaled (by population deviations).
     ``indicators`` names a 0/1 vector with at most one 1; with degree 2 it adds itself, its squares and its products with the
@@ -119,7 +123,7 @@ def linear(
             regParam=reg_param,
             elasticNetParam=1.0 if l1 else 0.0,
             standardization=False,
-            solver="l-bfgs",
+            solver="auto",  # up to 4,096 terms from one pass of moments, more by iterations over the rows
             maxIter=iterations,
             tol=tolerance,
         )
@@ -184,6 +188,22 @@ def sliced(table: DataFrame, columns: list[int] | None) -> DataFrame:
     return slicer.transform(table).drop(FEATURES).withColumnRenamed("_slice", FEATURES)
 
 
+def fold_score(table: DataFrame, candidate: Candidate, fold: int, folds: int, evaluator: Evaluator | None = None) -> float:
+    """Error of a candidate on a fold, from a fit on the others; with ``patience`` its mean error at the best round. Infinity if it cannot be fitted."""
+    rows = sliced(table, candidate.columns)
+    try:
+        if candidate.patience is not None:
+            curve = rounds_curve(rows, candidate.params, folds, candidate.patience, evaluator=evaluator)
+            candidate.rounds = best_rounds(curve, candidate.patience)
+            return curve[candidate.rounds - 1]
+        fit_part, held_out = fold_parts(rows, fold)
+        scored = candidate.estimator(fit_part).fit(fit_part).transform(held_out)
+        return (evaluator or rmse_evaluator()).evaluate(scored)
+    except (ArithmeticException, IllegalArgumentException, ValueError) as error:
+        candidate.error = f"{type(error).__name__}: {error}"[:500]
+        return math.inf
+
+
 def cross_validate(
     table: DataFrame,
     candidates: Sequence[Candidate],
@@ -196,21 +216,8 @@ def cross_validate(
     A candidate whose settings are refused or whose numbers break down scores infinity, keeps the message in
     ``error`` and is never chosen. Any other failure, such as a lost executor, ends the search.
     """
-    evaluator = evaluator or rmse_evaluator()
-
     def score(job: tuple[Candidate, int]) -> float:
-        candidate, fold = job
-        rows = sliced(table, candidate.columns)
-        try:
-            if candidate.patience is not None:
-                curve = rounds_curve(rows, candidate.params, folds, candidate.patience, evaluator=evaluator)
-                candidate.rounds = best_rounds(curve, candidate.patience)
-                return curve[candidate.rounds - 1]
-            fit_part, held_out = fold_parts(rows, fold)
-            return evaluator.evaluate(candidate.estimator(fit_part).fit(fit_part).transform(held_out))
-        except (ArithmeticException, IllegalArgumentException, ValueError) as error:
-            candidate.error = f"{type(error).__name__}: {error}"[:500]
-            return math.inf
+        return fold_score(table, *job, folds, evaluator)
 
     jobs = [(c, f) for c in candidates for f in range(1 if c.patience is not None else folds)]
     with ThreadPoolExecutor(parallelism) as pool:
@@ -284,6 +291,34 @@ def search(
     return leaderboard(table, candidates, scores), candidates[best].params, scores[best]
 
 
+def lowest_mean(
+    score: Callable[[int, int], float], candidates: int, folds: int, bound: float, parallelism: int = 4
+) -> tuple[int | None, list[float | None]]:
+    """The first candidate with the lowest mean of ``score(candidate, fold)`` below ``bound``, and the means that were worked out.
+
+    Branch and bound: scores are not negative, so a candidate whose scores so far add up to more than the best total cannot
+    win and is not scored further (None). All candidates are scored on the first fold; then those that look best go first, so that the
+    bound falls early. The choice is that of scoring everything.
+    """
+    total, done = [0.0] * candidates, [0] * candidates
+    best, limit = None, bound * folds
+    with ThreadPoolExecutor(parallelism) as pool:
+        while True:
+            def hopeful(c: int) -> bool:
+                return done[c] < folds and (total[c] < limit or (best is not None and total[c] == limit and c < best))
+
+            ready = sorted((c for c in range(candidates) if hopeful(c)), key=lambda c: (done[c] > 0, -done[c], total[c], c))
+            if not ready:
+                break
+            batch = ready if done[ready[0]] == 0 else ready[:parallelism]
+            for c, value in zip(batch, pool.map(lambda c: score(c, done[c]), batch), strict=True):
+                total[c] += value
+                done[c] += 1
+                if done[c] == folds and (total[c] < limit or (best is not None and total[c] == limit and c < best)):
+                    best, limit = c, total[c]
+    return best, [t / folds if d == folds else None for t, d in zip(total, done)]
+
+
 def forward_selection(
     table: DataFrame,
     features: list[str],
@@ -299,28 +334,34 @@ def forward_selection(
     With ``boosting`` settings and ``patience`` every choice is scored at its best round.
 
     ``features`` names the slots of the vector; a candidate reads its slots from the
-    one written vector table. Returns the choice, its error and every evaluation.
+    one written vector table. Returns the choice, its error and every evaluation. Without ``patience`` a candidate that cannot win any more is
+    left before its last fold (see ``lowest_mean``); its error is then null.
     """
     place = {name: i for i, name in enumerate(features)}
     chosen, log = unique_names(base), []
 
-    def evaluate(lists: list[list[str]]) -> list[float]:
-        tried = [Candidate("+".join(n), dict(boosting or {}), estimator, [place[x] for x in n], patience) for n in lists]
+    def candidate(names: list[str]) -> Candidate:
+        return Candidate("+".join(names), dict(boosting or {}), estimator, [place[x] for x in names], patience)
+
+    def lowest(lists: list[list[str]], bound: float) -> tuple[int | None, list[float | None]]:
+        tried = [candidate(names) for names in lists]
+        if patience is None:
+            return lowest_mean(lambda c, f: fold_score(table, tried[c], f, folds), len(lists), folds, bound, parallelism)
         scores = cross_validate(table, tried, folds, parallelism=parallelism)
-        best_of(tried, scores)
-        return scores
+        winner = best_of(tried, scores)
+        return (winner if scores[winner] < bound else None), list(scores)
 
-    (best,) = evaluate([chosen])
+    first = candidate(chosen)
+    (best,) = cross_validate(table, [first], folds, parallelism=parallelism)
+    best_of([first], [best])
     log.append((0, "(base)", best, True))
     left = [f for f in features if f not in chosen]
     step = 0
     while left:
         step += 1
-        scores = evaluate([chosen + [f] for f in left])
-        winner = min(range(len(left)), key=scores.__getitem__)
-        better = scores[winner] < best
-        log.extend((step, f, s, better and i == winner) for i, (f, s) in enumerate(zip(left, scores)))
-        if not better:
+        winner, scores = lowest([chosen + [f] for f in left], best)
+        log.extend((step, f, s, i == winner) for i, (f, s) in enumerate(zip(left, scores)))
+        if winner is None:
             break
         best = scores[winner]
         chosen.append(left.pop(winner))
@@ -361,14 +402,42 @@ def rounds_curve(
 def _held_out_curve(model: Model, held_out: DataFrame, evaluator: Evaluator | None) -> list[float]:
     if not isinstance(evaluator, OriginalScaleRmse):
         return [math.sqrt(v) for v in model.evaluateEachIteration(held_out, "squared")]
-    # Errors on another scale need the predictions of every round: running sums over the trees' own.
-    rows, total, names = held_out, F.lit(0.0), []
-    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        rows = tree.setPredictionCol(f"_tree{i}").transform(rows)
-        total = total + F.col(f"_tree{i}") * F.lit(weight)
-        names.append(total)
-    errors = [F.sqrt(F.avg(F.pow(F.expm1(LABEL) - F.expm1(p), 2))) for p in names]
-    return list(rows.agg(*errors).first())
+    return staged_rmse(model, held_out, np.expm1)
+
+
+def leaf_values(model: Model) -> list[np.ndarray]:
+    """Per tree the predictions of its leaves, from left to right, times the tree's weight."""
+    found = [re.findall(r"Predict: (\S+)", tree.toDebugString) for tree in model.trees]
+    return [np.array([float(v) for v in values]) * w for values, w in zip(found, model.treeWeights)]
+
+
+def staged_rmse(model: Model, rows: DataFrame, back: Callable[[np.ndarray], np.ndarray]) -> list[float]:
+    """Error after every round, label and prediction taken ``back`` to another scale first; rows without a label are left out.
+
+    A row's leaves in all trees come as one vector, and the predictions of all rounds are the running sums of their values, so
+    neither the plan nor the passes grow with the rounds. A task sends one row of sums.
+    """
+    values = leaf_values(model)
+    marked = model.copy()
+    marked.setLeafCol("_leaves")
+    leaves = marked.transform(rows).dropna(subset=[LABEL]).select(vector_to_array("_leaves", "float32").alias("leaves"), F.col(LABEL).cast("double").alias("y"))
+
+    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, count = np.zeros(len(values)), 0
+        for batch in batches:
+            if batch.num_rows:
+                place = batch.column("leaves").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.int64)
+                staged = np.cumsum(np.column_stack([v[place[:, t]] for t, v in enumerate(values)]), axis=1)
+                y = back(batch.column("y").to_numpy(zero_copy_only=False))
+                total += ((y[:, None] - back(staged)) ** 2).sum(axis=0)
+                count += batch.num_rows
+        if count:
+            rounds = pa.array(np.arange(len(values), dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([rounds, pa.array(total), pa.array(np.full(len(values), count))], names=["round", "squares", "n"])
+
+    sums = leaves.mapInArrow(errors, "round int, squares double, n long").groupBy("round")
+    found = sums.agg(F.sqrt(F.sum("squares") / F.sum("n")).alias("rmse")).orderBy("round").collect()
+    return [r["rmse"] for r in found]
 
 
 def best_rounds(curve: Sequence[float], patience: int) -> int:

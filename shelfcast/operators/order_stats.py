@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import attach
-from shelfcast.session import materialise
+from shelfcast.session import Table, materialise
 
 SKETCH_ACCURACY = 10_000
 
@@ -53,6 +53,29 @@ def ordered_counts(df: DataFrame, groups: list[str], value: str, weight: str | N
     )
 
 
+def running_totals(df: DataFrame, groups: list[str], order: list[str], amounts: dict[str, str | None]) -> DataFrame:
+    """``df`` with, per name in ``amounts``, the sum of that column (None: of ones) over the rows of the group that come before.
+
+    Rows are range-partitioned by (groups, order) and written; sums are taken inside the partitions and shifted by those of
+    the partitions before, so neither a group nor the whole table has to be in one task. Group columns and amounts are not null.
+    Rows that are equal in ``order`` come one after another in some order.
+    """
+    keys = groups or ["_all"]
+    if not groups:
+        df = df.withColumn("_all", F.lit(0))
+    placed = materialise(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "ordered").df
+    one = {name: F.lit(1).cast("long") if column is None else F.col(column) for name, column in amounts.items()}
+    shares = placed.groupBy(*keys, "_part").agg(*(F.sum(c).alias(name) for name, c in one.items()))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = shares.select(
+        *keys, "_part", *(F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_offset_{name}") for name in amounts)
+    )
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    running = placed.withColumns({f"_inside_{name}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for name, c in one.items()})
+    totals = [(F.col(f"_offset_{name}") + F.col(f"_inside_{name}")).alias(name) for name in amounts]
+    return running.join(offsets, [*keys, "_part"]).select(*(c for c in df.columns if c != "_all"), *totals)
+
+
 def group_quantile(
     df: DataFrame, groups: list[str], value: str, p: float, out: str, weight: str | None = None
 ) -> DataFrame:
@@ -195,20 +218,20 @@ def global_mode(df: DataFrame, value: str):
 def pct_ranks(df: DataFrame, group: str, outputs: dict[str, str]) -> DataFrame:
     """Average rank of each value in its group over the number of non-null values; null stays null.
 
-    ``outputs`` maps value column to rank column. All ranks are learned from ``df`` itself
-    before any is joined, so none repeats the joins of another.
+    ``outputs`` maps value column to rank column. All columns are ranked by one ordering of (column, group, value), which is
+    written once; the ranks of a column are joined back by (group, value).
     """
-    ranks = {
-        value: materialise(
-            ordered_counts(df.select(group, value), [group], value).select(
-                group, value, ((F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_total")).alias(out)
-            ),
-            "ranks",
-        )
-        for value, out in outputs.items()
-    }
-    for value, table in ranks.items():
-        df = attach(df, table, [group, value])
+    if not outputs:
+        return df
+    kinds = {df.schema[value].dataType for value in outputs}
+    same = (lambda c: F.col(c)) if len(kinds) == 1 else (lambda c: F.col(c).cast("double"))
+    entries = [F.struct(F.lit(i).alias("_column"), same(value).alias("_value")) for i, value in enumerate(outputs)]
+    values = df.select(F.col(group).alias("_group"), F.explode(F.array(*entries)).alias("_e")).select("_group", "_e.*")
+    rank = (F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_total")
+    ranks = materialise(ordered_counts(values, ["_column", "_group"], "_value").select("_column", "_group", "_value", rank.alias("_rank")), "ranks")
+    for i, (value, out) in enumerate(outputs.items()):
+        own = ranks.df.filter(F.col("_column") == i).select(F.col("_group").alias(group), F.col("_value").alias("_ranked"), F.col("_rank").alias(out))
+        df = attach(df.withColumn("_ranked", same(value)), Table(own, ranks.rows, ranks.bytes), [group, "_ranked"]).drop("_ranked")
     return df
 
 

@@ -14,10 +14,12 @@ from shelfcast.llm.near_texts import near_classes
 from shelfcast.llm.near_vectors import near_links
 from shelfcast.llm.packing import pack, with_checksum
 from shelfcast.llm.perspectives import mask_text, rotate
+from shelfcast.llm.prefix_trie import family_trie
 from shelfcast.llm.quality_model import held_out, score, train
 from shelfcast.llm.quality_rules import RepetitionRules, repetition
 from shelfcast.llm.sharding import shard_documents
 from shelfcast.llm.url_filter import judge_urls, parse_rules
+from shelfcast.llm.whitening import whiten
 from shelfcast.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +198,46 @@ FROM placed GROUP BY conv_id, assistant"""
 @_query
 def op11_order_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return family_trie(_table(spark, sf_dir, "conversations"))
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the ASCII characters of a SQL text, bit by bit."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda ch: [CAST(ord(ch) AS bigint), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "(xor(acc, x) >> 1)"
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS bigint), {steps}),
+    lambda acc, x: xor({step}, (xor(acc, x) & 1) * 3988292384)), 4294967295)"""
+
+
+ORACLES["op13_prefix_trie"] = rf"""WITH t AS (SELECT conv_id AS c, dense_rank() OVER (ORDER BY r, x) AS code,
+    len(regexp_extract_all(x, '[^ 	-
+]+')) AS w,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || x)) - 1 AS p
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+words AS (SELECT code, max(w) AS w FROM t GROUP BY code),
+convs AS (SELECT c, c - c % 20 AS b, {_crc32_sql("CAST(c AS varchar)")} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+rebuilt AS (SELECT convs.c, 0 AS own, p, code FROM convs JOIN t ON t.c = b WHERE p < h
+  UNION ALL SELECT convs.c, 1, p, code FROM convs JOIN t ON t.c = convs.c WHERE p >= h),
+seqs AS (SELECT convs.c, coalesce(codes, []) AS codes
+  FROM convs LEFT JOIN (SELECT c, list(code ORDER BY own, p) AS codes FROM rebuilt GROUP BY c) s USING (c)),
+members AS (SELECT c, codes, unnest(range(0, len(codes) + 1)) AS d FROM seqs),
+nodes AS (SELECT codes[1:d] AS path, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN len(codes) = d THEN CAST(c AS varchar) END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM members GROUP BY ALL),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children, coalesce((n_convs - 1) * w, 0) AS saved
+  FROM nodes n LEFT JOIN kids USING (path) LEFT JOIN words ON code = path[depth]),
+steps AS (SELECT path, n_children, saved, unnest(range(0, depth + 1)) AS k FROM full_nodes),
+sums AS (SELECT path[1:k] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS bigint) AS saved_tokens
+  FROM steps GROUP BY ALL)
+SELECT f.conv_id, f.depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN sums USING (path) LEFT JOIN nodes u ON f.depth > 0 AND u.path = f.path[1:f.depth - 1]"""

@@ -41,6 +41,8 @@ def awkward(spark):
         (9, long_text, "fr", "c", len(long_text)),
         (10, "été 日本語 \U0001f600 ünïcode " + story(4), "ja", "c", 3),
         (11, story(2), "en", "c", 5),
+        (13, "an end <|endoftext|> in the text " + story(6, 40), "en", "b", 9),
+        (14, " " * 2_000_000, "en", "c", 2_000_000),
         (12, story(5, 60) + "\n" + story(5, 60), "en", "a", -3),
     ]
     return spark.createDataFrame(rows, DOCS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfcast.llm.mixing import Timetable, earliest_deadline_first, in_order, mix, period_shares, windows
-from shelfcast.llm.packing import Groups, Schedule, Tokens, pack, with_checksum
+from shelfcast.llm.packing import UNITS, Groups, Schedule, Tokens, pack, with_checksum
 from shelfcast.llm.queues import offsets
 
 
@@ -116,14 +116,54 @@ def test_schedule_covers_every_token_once_in_proportion(window):
 
 def brute_ids(text):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def test_ids_are_those_of_the_tokenizer_file():
     tokens = Tokens(public_tokenizers.path("byte_bpe_50k.json"))
-    for text in ["", " ", "a  b", "x 's don't", "a\n b　c", "<|endoftext|> 12 %%%", "日本語 été \x1c \x85", "z" * 3000]:
+    for text in ["", " ", "a  b", "x 's don't", "a\n b　c", "<|endoftext|> 12 %%%", "日本語 été \x1c \x85", "z" * 3000, "a<|endoftext|><|endoftext|> b <|endoftext"]:
         assert tokens.checked(text).tolist() == brute_ids(text)
+    assert tokens.ids("a <|endoftext|> b").tolist().count(50256) == 1
+    for blanks in (" " * 2_000_000, "\n" * 1_000_000 + "x"):
+        assert tokens.ids(blanks).tolist() == brute_ids(blanks)
+
+
+def deficit_rounds(totals, weights, window):
+    """(queue, token of the queue) in packed order, by a loop over rounds that carries the credit of every run of queues from the first."""
+    left, taken, out = list(totals), [0] * len(totals), []
+    while any(left):
+        share = [int(x) for x in Schedule._shares(np.array([w if n else 0.0 for w, n in zip(weights, left, strict=True)]))]
+        credit, given = [0] * len(left), [0] * len(left)
+        while True:
+            served, ahead = [], 0
+            for q in range(len(left)):
+                credit[q] += sum(share[: q + 1]) * window
+                upto = credit[q] // UNITS
+                served.append(upto - ahead - given[q])
+                ahead = upto
+            short = any(n > have for n, have in zip(served, left, strict=True))
+            for q, n in enumerate(served):
+                for _ in range(min(n, left[q])):
+                    out.append((q, taken[q]))
+                    taken[q] += 1
+                    left[q] -= 1
+                given[q] += n
+            if short or not any(left):
+                break
+    return out
+
+
+@pytest.mark.parametrize(("totals", "weights", "window"), [
+    ([50, 30, 20], [5.0, 3.0, 2.0], 10), ([7, 200, 90], [1.0, 1.0, 1.0], 16), ([0, 13, 5, 400], [0.3, 0.2, 0.25, 0.25], 32), ([33], [1.0], 8),
+])
+def test_schedule_is_that_of_the_round_by_round_loop(totals, weights, window):
+    schedule = Schedule(totals, weights, window)
+    queue, size = np.arange(len(totals)), np.array(totals, np.int64)
+    place = {}
+    for row, start, length, at in schedule.pieces(queue[size > 0], np.zeros((size > 0).sum(), np.int64), size[size > 0]):
+        for r, s, n, p in zip(queue[size > 0][row].tolist(), start.tolist(), length.tolist(), at.tolist(), strict=True):
+            place.update(((p + k), (r, s + k)) for k in range(n))
+    assert [place[p] for p in range(len(place))] == deficit_rounds(totals, weights, window)
 
 
 @pytest.mark.parametrize("targets", [None, {"a": 0.7, "b": 0.2, "": 0.1}])

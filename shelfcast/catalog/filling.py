@@ -83,32 +83,24 @@ def fill_visibility_cascade(spark, d):
     return filled.select(*K, "source", near("visibility", 6).alias("visibility"))
 
 
-# Sizes blanked in one (location, type) group, so that the fallbacks have work to do.
-BLANK_SQL = (
-    "b AS (SELECT okey, line, loc, otype, CASE WHEN loc = 'Tier 1' AND otype = 'Grocery Store' THEN NULL ELSE size END AS size FROM rv)",
-    """bc AS (SELECT loc, otype, size, count(*) AS n FROM b WHERE size IS NOT NULL GROUP BY loc, otype, size)""",
+MODE_SQL = (
+    """bc AS (SELECT loc, otype, size, count(*) AS n FROM rv WHERE size IS NOT NULL GROUP BY loc, otype, size)""",
     """bm AS (SELECT loc, otype, size AS m FROM (
       SELECT *, row_number() OVER (PARTITION BY loc, otype ORDER BY n DESC, size) AS k FROM bc) WHERE k = 1)""",
-    "bf AS (SELECT b.okey, b.line, coalesce(b.size, m) AS s FROM b LEFT JOIN bm ON b.loc = bm.loc AND b.otype = bm.otype)",
+    "bf AS (SELECT b.okey, b.line, coalesce(b.size, m) AS s FROM rv b LEFT JOIN bm ON b.loc = bm.loc AND b.otype = bm.otype)",
     """bg AS (SELECT s AS g FROM bf WHERE s IS NOT NULL GROUP BY s ORDER BY count(*) DESC, s LIMIT 1)""",
 )
 
 
-def blanked(spark, d):
-    rows = view(spark, d, *K, "loc", "otype", "size")
-    blank = (F.col("loc") == "Tier 1") & (F.col("otype") == "Grocery Store")
-    return rows.withColumn("size", F.when(~blank, F.col("size")))
-
-
 @query(
     "fill_group_mode",
     check(
         "SELECT okey, line, coalesce(s, (SELECT g FROM bg)) AS size, coalesce(s, 'Medium') AS size_medium FROM bf",
-        *BLANK_SQL,
+        *MODE_SQL,
     ),
 )
 def fill_group_mode(spark, d):
-    rows = blanked(spark, d).withColumn("size_medium", F.col("size"))
+    rows = view(spark, d, *K, "loc", "otype", "size").withColumn("size_medium", F.col("size"))
     rows = I.fill_group_mode(rows, ["loc", "otype"], "size")
     rows = I.fill_group_mode(rows, ["loc", "otype"], "size_medium", default="Medium")
     return rows.select(*K, "size", "size_medium")
@@ -167,31 +159,22 @@ def repair_zero_nonzero_mean(spark, d):
     "repair_zero_cascade",
     check(
         f"SELECT okey, line, {near_sql('coalesce(CASE WHEN x = 0 THEN im ELSE x END, om, g)', 6)} AS visibility FROM f",
-        "h AS (SELECT *, CASE WHEN okey % 11 = 0 THEN NULL ELSE visibility END AS x FROM rv)",
-        "f AS (SELECT *, avg(x) OVER (PARTITION BY item_id) AS im, avg(x) OVER (PARTITION BY outlet_id) AS om, avg(x) OVER () AS g FROM h)",
+        "f AS (SELECT *, visibility AS x, avg(visibility) OVER (PARTITION BY item_id) AS im, avg(visibility) OVER (PARTITION BY outlet_id) AS om, avg(visibility) OVER () AS g FROM rv)",
     ),
 )
 def repair_zero_cascade(spark, d):
-    """Some values are blanked as well, to reach the later steps."""
-    def repair(rows):
-        rows = rows.withColumn("visibility", F.when(F.col("okey") % 11 != 0, F.col("visibility")))
-        return I.repair_zero_cascade(rows, "item_id", "outlet_id", "visibility")
-
-    return repaired(spark, d, repair)
+    return repaired(spark, d, lambda rows: I.repair_zero_cascade(rows, "item_id", "outlet_id", "visibility"))
 
 
 @query(
     "fill_leftover_train_mean",
     check(
-        f"SELECT okey, line, source, {near_sql('coalesce(weight, (SELECT avg(weight) FROM train))')} AS weight, "
-        "CASE WHEN source = 'test' AND okey % 3 = 0 THEN NULL ELSE mrp END AS mrp FROM rv"
+        f"SELECT okey, line, source, {near_sql('coalesce(weight, (SELECT avg(weight) FROM train))')} AS weight, mrp FROM rv"
     ),
 )
 def fill_leftover_train_mean(spark, d):
-    """The price has gaps only on the test side and is therefore left alone."""
-    rows = view(spark, d, *K, "source", "weight", "mrp").withColumn(
-        "mrp", F.when(~((F.col("source") == "test") & (F.col("okey") % 3 == 0)), F.col("mrp"))
-    )
+    """The price has no gaps on the train side and is left alone."""
+    rows = view(spark, d, *K, "source", "weight", "mrp")
     filled = I.fill_train_means(rows.filter("source = 'train'"), rows, ["weight", "mrp"])
     return filled.withColumn("weight", near("weight"))
 

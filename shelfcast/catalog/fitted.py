@@ -11,6 +11,7 @@ from shelfcast.catalog.common import check, near, near_sql, query, view
 from shelfcast.functions import metrics
 from shelfcast.functions import scalar as S
 from shelfcast.operators import models as M
+from shelfcast.operators.moments import ridge_path
 from shelfcast.sources.retail_view import FOLDS
 
 ALPHAS = (1000.0, 1_000_000.0, 100_000_000.0)
@@ -107,6 +108,13 @@ def ridge_grid_search(spark, d):
     return board.select(F.get_json_object("params", "$.alpha").cast("double").alias("alpha"), near("rmse").alias("rmse"))
 
 
+@query("ridge_path_closed_form", check(f"SELECT alpha, {near_sql('rmse')} AS rmse FROM board", *fold_steps(ALPHAS)))
+def ridge_path_closed_form(spark, d):
+    """The leaderboard of all penalties from the moments of the folds."""
+    board, _, _ = ridge_path(train_of(table_of(spark, d, "mrp")), ALPHAS)
+    return board.select(F.get_json_object("params", "$.alpha").cast("double").alias("alpha"), near("rmse").alias("rmse"))
+
+
 @query(
     "ridge_out_of_fold",
     check(f"SELECT CAST(fold AS int) AS fold, {near_sql('e')} AS rmse, {near_sql('p')} AS mean FROM scores", *fold_steps(ALPHAS[1:2])),

@@ -51,11 +51,7 @@ def map_lookup(spark, d):
     return lookup(rows, means, ["item_id"], "m", "v", default=-1.0).select(*K, near("v").alias("v"))
 
 
-# Train rows without the first-tier grocery stores, so that a pair of keys is unseen.
-PAIRS = (
-    "p AS (SELECT category, otype, avg(ln(1 + sales)) AS m FROM train WHERE category IS NOT NULL "
-    "AND NOT (category = 'Drinks' AND otype = 'Grocery Store') GROUP BY category, otype)"
-)
+PAIRS = "p AS (SELECT category, otype, avg(ln(1 + sales)) AS m FROM train WHERE category IS NOT NULL GROUP BY category, otype)"
 
 
 @query(
@@ -68,9 +64,7 @@ PAIRS = (
 )
 def composite_key_lookup(spark, d):
     rows = view(spark, d, *K, "source", "item_id", "otype", "sales").withColumn("category", category())
-    unseen = (F.col("category") == "Drinks") & (F.col("otype") == "Grocery Store")
-    train = split(rows)[0].filter(~F.coalesce(unseen, F.lit(False)))
-    means = materialise(G.group_mean(train, ["category", "otype"], F.log1p("sales"), "m"))
+    means = materialise(G.group_mean(split(rows)[0], ["category", "otype"], F.log1p("sales"), "m"))
     default = G.mean_of(means.df, "m")
     return lookup(rows, means, ["category", "otype"], "m", "v", default).select(*K, near("v", 6).alias("v"))
 
@@ -265,15 +259,13 @@ def ratio_to_global_mean(spark, d):
     "price_to_outlet_mean_ratio",
     check(
         f"SELECT okey, line, {near_sql('mrp / coalesce(m, (SELECT median(m) FROM tr))')} AS ratio FROM rv LEFT JOIN s ON rv.outlet_id = s.outlet_id",
-        "s AS (SELECT outlet_id, avg(mrp) AS m FROM train WHERE outlet_id <> 'OUT0007' GROUP BY outlet_id)",
+        "s AS (SELECT outlet_id, avg(mrp) AS m FROM train GROUP BY outlet_id)",
         "tr AS (SELECT m FROM train JOIN s ON train.outlet_id = s.outlet_id)",
     ),
 )
 def price_to_outlet_mean_ratio(spark, d):
-    """One outlet is taken out of the train rows so that it is unseen."""
     rows = view(spark, d, *K, "source", "outlet_id", "mrp")
-    train = split(rows)[0].filter("outlet_id <> 'OUT0007'")
-    stats = materialise(G.group_stats(train, ["outlet_id"], m=F.avg("mrp"), n=F.count(F.lit(1))))
+    stats = materialise(G.group_stats(split(rows)[0], ["outlet_id"], m=F.avg("mrp"), n=F.count(F.lit(1))))
     default = G.median_of(stats.df, "m", "n")
     found = G.ratio_to_mean(rows, stats.df.drop("n"), ["outlet_id"], "mrp", "m", "ratio", unseen_mean=default)
     return found.select(*K, near("ratio").alias("ratio"))
@@ -281,7 +273,7 @@ def price_to_outlet_mean_ratio(spark, d):
 
 def type_ratio(spark, d, value):
     rows = view(spark, d, *K, "source", "item_type", value)
-    stats = G.group_mean(split(rows)[0].filter("item_type <> 'PROMO'"), ["item_type"], value, "m")
+    stats = G.group_mean(split(rows)[0], ["item_type"], value, "m")
     found = G.ratio_to_mean(rows, stats, ["item_type"], value, "m", "ratio", 1e-6, unseen_ratio=1.0)
     return found.select(*K, near("ratio").alias("ratio"))
 
@@ -289,7 +281,7 @@ def type_ratio(spark, d, value):
 def type_ratio_sql(value):
     return check(
         f"SELECT okey, line, {near_sql(f'coalesce({value} / (m + 0.000001), 1)')} AS ratio FROM rv LEFT JOIN s ON rv.item_type = s.item_type",
-        f"s AS (SELECT item_type, avg({value}) AS m FROM train WHERE item_type <> 'PROMO' GROUP BY item_type)",
+        f"s AS (SELECT item_type, avg({value}) AS m FROM train GROUP BY item_type)",
     )
 
 

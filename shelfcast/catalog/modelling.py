@@ -13,6 +13,7 @@ from shelfcast.operators import models as M
 from shelfcast.operators.groupstats import group_mean
 from shelfcast.operators.impute import fill_group_mean
 from shelfcast.operators.joins import attach
+from shelfcast.operators.moments import ridge_path
 from shelfcast.operators.order_stats import min_by_finite
 from shelfcast.plans.ensemble import run_ensemble
 from shelfcast.plans.features import ENGINEERED_FEATURES
@@ -177,6 +178,12 @@ def ridge_fit(spark, d):
     return scores(M.ridge(train_of(table), 1.0, degree=2).fit(train_of(table)), table)
 
 
+@query("ridge_path")
+def ridge_path_query(spark, d):
+    """Every penalty of the race at both degrees, over all folds, from one pass of moments per degree."""
+    return ridge_path(train_of(model_table(spark, d)), (0.1, 0.5, 1.0, 10.0, 100.0), (1, 2))[0]
+
+
 @query("gbt_fit")
 def gbt_fit(spark, d):
     table = model_table(spark, d)

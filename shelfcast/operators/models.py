@@ -41,6 +41,9 @@ from shelfcast.session import Table, materialise
 
 FEATURES, LABEL, FOLD, PREDICTION = "features", "label", "fold", "prediction"
 
+#: Spark solves up to so many terms from moments.
+NORMAL_TERMS = 4096
+
 # Boosting parameter names users know -> Spark ML parameters.
 BOOSTING_PARAMS = {
     "n_estimators": "maxIter",
@@ -123,7 +126,8 @@ def linear(
             regParam=reg_param,
             elasticNetParam=1.0 if l1 else 0.0,
             standardization=False,
-            solver="auto",  # up to 4,096 terms from one pass of moments, more by iterations over the rows
+            # Up to 4,096 terms come from one pass of moments; more, and sparse ones, from iterations over the rows.
+            solver="l-bfgs" if indicators else "auto",
             maxIter=iterations,
             tol=tolerance,
         )
@@ -141,9 +145,15 @@ def lasso(
 def ridge(
     train: DataFrame, alpha: float, degree: int = 1, scaled: bool = False, indicators: str | None = None, tolerance: float = 1e-6
 ) -> Pipeline:
-    """Minimises residual + alpha * |w|^2; Spark's penalty is relative to label scale and row count."""
-    row = train.agg(F.stddev(LABEL).alias("s"), F.count(F.lit(1)).alias("n")).first()
-    return linear(alpha * (row["s"] or 1.0) / max(row["n"], 1), False, degree, train if scaled else None, indicators, tolerance)
+    """Minimises residual + alpha * |w|^2; Spark's penalty is relative to row count and to the label's deviation.
+
+    The deviation is that of the population where moments are solved, and that of a sample where rows are iterated over.
+    """
+    row = train.agg(F.stddev(LABEL).alias("sample"), F.stddev_pop(LABEL).alias("whole"), F.count(F.lit(1)).alias("n")).first()
+    first = train.select(FEATURES).first()
+    terms = math.comb(first[0].size + degree, degree) - 1 if first else 0
+    spread = row["sample"] if indicators or terms > NORMAL_TERMS else row["whole"]
+    return linear(alpha * (spread or 1.0) / max(row["n"], 1), False, degree, train if scaled else None, indicators, tolerance)
 
 
 # --- evaluation -------------------------------------------------------------------

@@ -247,6 +247,7 @@ def pack(
     id_column: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    position: str | None = None,
 ) -> DataFrame:
     """Pieces of all documents in windows of ``window`` tokens, mixed to target shares.
 
@@ -261,25 +262,34 @@ def pack(
     alone; a null source is the shared queue; repeated rows are packed each by itself (documents are told apart by
     their rows, not their ids); other columns are left out; an empty table gives none.
     A text of any length is cut where windows end.
+
+    A queue's documents come in the order of ``position``, a column of distinct numbers that rise within a split of the input; without
+    it in the order in which they are read.
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     names = sorted(n for n in targets if n != "") if targets is not None else source_names(docs, source)
     queues = len(names) + 1
     narrow = docs.select(
-        F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source")
+        F.col(f"`{id_column}`").alias("doc_id"),
+        F.col(f"`{text}`").alias("text"),
+        F.col(f"`{source}`").alias("source"),
+        (F.spark_partition_id() if position is None else F.col(f"`{position}`")).cast("long").alias("part"),
     )
-    narrow = with_queue(narrow, names, "source", "queue").drop("source").withColumn("part", F.spark_partition_id())
+    narrow = with_queue(narrow, names, "source", "queue").drop("source")
     id_type = narrow.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = np.zeros(queues, np.int64), 0
-        for batch in slices(batches, "text"):
+        held, seen, run, last = np.zeros(queues, np.int64), 0, None, None
+        for batch in runs(slices(batches, "text")):
             tokens = _tokens(path)
             texts = [x or "" for x in batch.column("text").to_pylist()]
             ids = [tokens.ids(x) if (seen + k) % CHECK_EVERY else tokens.checked(x) for k, x in enumerate(texts)]
             seen += len(texts)
             size = np.array([len(x) for x in ids], dtype=np.int64)
-            queue = batch.column("queue").to_numpy()
+            queue, at = batch.column("queue").to_numpy(), batch.column("part").to_numpy()
+            if position is not None and (last is None or at[0] != last + 1):  # another stretch of the input begins
+                held, run = np.zeros(queues, np.int64), int(at[0])
+            run, last = at[0] if position is None else run, at[-1]
             before = np.zeros(len(ids), np.int64)
             for q in np.unique(queue):
                 own = queue == q
@@ -287,11 +297,18 @@ def pack(
                 held[q] += size[own].sum()
             small = [x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("queue"), batch.column("part"), pa.array(before), pa.array(size), pa.array(small, pa.binary())],
+                [batch.column("doc_id"), batch.column("queue"), pa.array(np.full(len(ids), run, np.int64)), pa.array(before), pa.array(size), pa.array(small, pa.binary())],
                 names=["doc_id", "queue", "part", "before_in_part", "size", "ids"],
             )
 
-    schema = f"doc_id {id_type}, queue int, part int, before_in_part long, size long, ids binary"
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The batches, cut where positions do not go on one by one."""
+        for batch in batches:
+            at = batch.column("part").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(at) != 1) + 1).tolist(), len(at)] if position is not None else [0, len(at)]
+            yield from (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+
+    schema = f"doc_id {id_type}, queue int, part long, before_in_part long, size long, ids binary"
     placed = materialise(narrow.mapInArrow(encode, schema), "packing-tokens").df
     totals = queue_totals(placed, "queue", F.col("size"), queues)
     if targets is None:

@@ -7,11 +7,16 @@ partition is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import attach
+from shelfcast.operators.order_stats import running_totals
 from shelfcast.session import materialise
 
 #: Names that are looked up in a map inside the plan; more are joined, with the same result.
@@ -93,4 +98,51 @@ def queue_totals(placed: DataFrame, queue: str, amount: Column, queues: int) ->
     return [int(found.get(q) or 0) for q in range(queues)]
 
 
-__all__ = ["MAP_NAMES", "by_case", "fresh", "materialise", "mixture_weights", "offsets", "queue_totals", "source_names", "with_offsets", "with_queue"]
+def in_written_order(docs: DataFrame, position: str) -> DataFrame:
+    """``docs``, rows of files, with their place in the order in which the files were written: by part number, and by row inside.
+
+    Spark reads files in splits by size, so the order in which rows arrive says nothing; this one does not depend on it.
+    Rows that are not read from files are written first.
+    """
+    path, row, part, before, rows = fresh([*docs.columns, position], "file_path", "file_row", "file_part", "file_before", "file_rows")
+    meta = [F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row)]
+    try:
+        placed = docs.select("*", *meta)
+    except AnalysisException:
+        placed = materialise(docs, "documents").df.select("*", *meta)
+    number = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1)
+    files = placed.groupBy(path).agg(F.count(F.lit(1)).alias(rows))
+    files = files.withColumn(part, F.when(number != "", number.cast("long")).otherwise(F.lit(0).cast("long")))
+    ranked = running_totals(files, [], [part, path], {before: rows}).select(path, before)
+    found = attach(placed, ranked, [path])
+    return found.select(*(F.col(f"`{c}`") for c in docs.columns), (F.col(before) + F.col(row)).cast("long").alias(position))
+
+
+def stream_weights(stream: DataFrame, source: str, position: str) -> dict[str, float]:
+    """Weights at which the sources of a mixed stream take turns, as its order shows; null and empty sources together under ``""``.
+
+    The source that lasts longest is the measure: up to the place where another one ends, both had rows in proportion to their weights.
+    One number per source is on the driver.
+    """
+    name = F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))
+    ends = stream.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"), F.max(position).alias("last")).collect()
+    if not ends:
+        return {}
+    longest = max(ends, key=lambda r: (r["last"], r["name"]))["name"]
+    stops = np.array(sorted({r["last"] for r in ends}), np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(len(stops), np.int64)
+        for batch in batches:
+            held += np.bincount(np.searchsorted(stops, batch.column(0).to_numpy()), minlength=len(stops))[: len(stops)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(stops))), pa.array(held)], names=["stop", "n"])
+
+    measure = stream.filter(name == longest).select(position).mapInArrow(count, "stop long, n long")
+    upto = np.zeros(len(stops), np.int64)
+    for r in measure.groupBy("stop").agg(F.sum("n").alias("n")).collect():
+        upto[r["stop"]] = r["n"]
+    upto = np.cumsum(upto)
+    return {r["name"]: r["n"] / max(1, int(upto[np.searchsorted(stops, r["last"])])) for r in ends}
+
+
+__all__ = ["MAP_NAMES", "by_case", "fresh", "in_written_order", "materialise", "mixture_weights", "offsets", "queue_totals", "source_names", "stream_weights", "with_offsets", "with_queue"]

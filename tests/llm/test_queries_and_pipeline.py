@@ -1,16 +1,20 @@
 """The registered queries against DuckDB or invariants, and the pipeline against a brute-force version."""
 
+import os
 import re
 from collections import Counter, defaultdict
+from glob import glob
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from shelfcast.llm.queries import ORACLES, QUERIES
+from shelfcast.llm.queues import in_written_order, stream_weights
 from tests.llm.conftest import story
 from tests.llm.test_mixing_and_packing import brute_ids
 from tests.llm.test_rules_and_model import brute
@@ -20,7 +24,7 @@ TABLES = "documents embeddings pages benchmark labels conversations"
 
 def test_all_are_registered():
     names = entry_module.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) <= set(names)
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) <= set(names)
     assert names["pipeline"] is corpus_pipeline.run and "pipeline" not in entry_module.oracle_sql()
     assert [name for name, _ in corpus_pipeline.STAGES][2] == "MinHash near-dedup" and len(corpus_pipeline.STAGES) == 5
 
@@ -117,20 +121,50 @@ def test_stages_on_awkward_rows(spark, awkward, no_docs, tiny):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, tiny).count() >= (docs is awkward)
 
 
-def test_packed_windows_have_the_target_shares_of_the_mixture(spark, tiny):
-    rows = {"a": 400, "b": 100, "c": 25, None: 9}
-    made = [(i, f"{k} {story(i)}", k) for k, n in rows.items() for i in range(n)]
-    docs = spark.createDataFrame(made, "doc_id long, text string, source string")
-    pieces = corpus_pipeline.packing(spark, docs, tiny).collect()
+@pytest.fixture(scope="module")
+def three_sources(spark):
+    rows = {"a": 1600, "b": 400, "c": 100, None: 36}
+    made = [(i, f"{k} {story(i, 60)}", k) for k, n in rows.items() for i in range(n)]
+    return rows, spark.createDataFrame(made, "doc_id long, text string, source string").repartition(4)
+
+
+def written(spark, docs, folder, shuffled=False):
+    """The rows as files; ``shuffled`` makes Spark read the files in another order, since it takes large ones first."""
+    docs.write.parquet(str(folder))
+    if shuffled:
+        sizes = sorted(glob(f"{folder}/part-*"))
+        again = f"{folder}-again"
+        os.mkdir(again)
+        for k, name in enumerate(sizes):  # the same rows in files padded to another order of size
+            table = pq.read_table(name)
+            pad = {b"pad": b"x" * (100_000 * (k + 1))}
+            pq.write_table(table.replace_schema_metadata({**(table.schema.metadata or {}), **pad}), f"{again}/{os.path.basename(name)}")
+        folder = again
+    return spark.read.parquet(str(folder))
+
+
+def packed(spark, stream, tiny):
+    return sorted((r["source_queue"], r["doc_id"], r["start"], r["sequence_id"], r["offset"]) for r in corpus_pipeline.packing(spark, stream, tiny).collect())
+
+
+def test_packing_follows_the_stream_of_the_mixing_stage(spark, three_sources, tiny, tmp_path, monkeypatch):
+    rows, docs = three_sources
+    stream = written(spark, corpus_pipeline.mixing(spark, docs, tiny), tmp_path / "mixed")
     got = defaultdict(Counter)
-    for r in pieces:
+    for r in corpus_pipeline.packing(spark, stream, tiny).collect():
         got[r["sequence_id"]][r["source_queue"]] += r["length"]
-    weights = [rows[k] ** corpus_pipeline.TEMPERATURE for k in ("a", "b", "c", None)]
+    weights = {k: n**corpus_pipeline.TEMPERATURE for k, n in rows.items()}
     last = min(max(s for s in got if got[s][q]) for q in range(4))
     assert last > 5
-    for s in range(last):
-        for q, w in enumerate(weights):
-            assert abs(got[s][q] - 1024 * w / sum(weights)) < 2
+    seen = stream_weights(in_written_order(stream, "at"), "source", "at")
+    for q, k in enumerate(("a", "b", "c", "")):
+        share = seen[k] / sum(seen.values())
+        assert abs(share - weights[k or None] / sum(weights.values())) < 0.03  # blocks of 16 documents
+        assert all(abs(got[s][q] - 1024 * share) < 2 for s in range(last))
+    plain = packed(spark, stream, tiny)
+    assert packed(spark, written(spark, corpus_pipeline.mixing(spark, docs, tiny), tmp_path / "more", shuffled=True), tiny) == plain
+    monkeypatch.setattr(corpus_pipeline, "TEMPERATURE", 1.0)
+    assert packed(spark, written(spark, corpus_pipeline.mixing(spark, docs, tiny), tmp_path / "other"), tiny) != plain
 
 
 def test_stages_do_not_take_input_columns_for_their_verdicts(spark, awkward, tiny):

@@ -14,7 +14,7 @@ from shelfcast.llm.packing import pack
 from shelfcast.llm.quality_model import score, train
 from shelfcast.llm.quality_rules import repetition
 from shelfcast.llm.queries import TEMPERATURE
-from shelfcast.llm.queues import fresh, mixture_weights
+from shelfcast.llm.queues import fresh, in_written_order, stream_weights
 from shelfcast.session import materialise, tune
 
 
@@ -38,32 +38,56 @@ def apart(stage: Stage) -> Stage:
 
 @apart
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not mostly repetition."""
+    """Documents that pass the base rules and are not mostly repetition.
+
+    Null, empty and short texts fail the base rules; a text of any length is read whole; ties and repeated rows are judged each by itself; an
+    empty table stays empty; other columns pass through, whatever their names.
+    """
     return repetition(docs).filter("kept").select(*docs.columns)
 
 
 @apart
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorisation machine, fitted on the labels, does not reject."""
+    """Documents that the factorisation machine, fitted on the labels, does not reject.
+
+    Null texts are scored as empty ones; a text of any length is read whole; repeated rows get the same score; an empty table stays empty;
+    other columns pass through, whatever their names.
+    """
     machine = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, machine).filter("predicted = 1").select(*docs.columns)
 
 
 @apart
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates: the one with the smallest id, ties by digest, one of repeated rows.
+
+    Null texts and texts without words are in no class and stay; a text of any length is compared whole; an empty table stays empty;
+    other columns pass through, whatever their names.
+    """
     return one_per_class(near_classes(docs)).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mixture, which is the order of the written files."""
+    """All documents, ordered by the mixture of their sources: file by file and row by row, which packing follows.
+
+    Weights are rows of a source to the power ``TEMPERATURE``. Null and empty sources are one; null texts, very long texts, ties and repeated rows are rows
+    like others, none is dropped or repeated; an empty table stays empty. Other columns pass through, whatever their names.
+    """
     mixed, names = mix(docs, temperature=TEMPERATURE)
     return in_order(mixed, names).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in windows of 1,024 tokens, mixed to the weights of the mixing stage."""
-    return pack(docs, mixture_weights(docs, "source", TEMPERATURE)).withColumn("ids_crc32", F.crc32("ids"))
+    """Pieces of the documents in windows of 1,024 tokens, in the order and to the weights of the stream that the mixing stage wrote.
+
+    Order is that of the written files, however Spark splits them; weights are those at which the sources take turns in it. Null and empty texts
+    are one closing id; null and empty sources are one queue; a text of any length is cut where windows end; repeated rows are packed each; an empty
+    table gives no pieces. Columns other than doc_id, text and source are left out.
+    """
+    (position,) = fresh(docs.columns, "stream_position")
+    stream = in_written_order(docs, position)
+    pieces = pack(stream, stream_weights(stream, "source", position), position=position)
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

@@ -8,6 +8,7 @@ from shelfcast.catalog.common import check, near, near_sql, query, view
 from shelfcast.functions import scalar as S
 from shelfcast.operators import folds as O
 from shelfcast.operators import groupstats as G
+from shelfcast.operators.buckets import BucketedRows
 from shelfcast.operators.joins import attach, lookup
 from shelfcast.operators.order_stats import group_mode
 from shelfcast.session import materialise
@@ -465,3 +466,27 @@ def flagship(spark, d):
         near(F.coalesce(O.other_folds_mean("_i", "fold", in_train), overall)).alias("item_id_avg_sales"),
         near(F.coalesce(O.other_folds_mean("_o", "fold", in_train), overall)).alias("outlet_id_avg_sales"),
     )
+
+
+# --- all statistics of an item on rows that are laid out once ------------------------
+
+
+@query(
+    "bucketed_item_joins",
+    check(
+        f"SELECT rv.okey, rv.line, rv.item_id, n AS frequency, {near_sql('w')} AS mean_weight, {near_sql('m')} AS mean_sales, CAST(2013 - y AS int) AS item_age "
+        "FROM rv LEFT JOIN a ON rv.item_id = a.item_id LEFT JOIN s ON rv.item_id = s.item_id",
+        "a AS (SELECT item_id, count(*) AS n, avg(weight) AS w FROM rv GROUP BY item_id)",
+        "s AS (SELECT item_id, avg(sales) AS m, min(est_year) AS y FROM train GROUP BY item_id)",
+    ),
+)
+def bucketed_item_joins(spark, d):
+    """Three tables of item statistics joined to rows that are shuffled by item once."""
+    rows = view(spark, d, *K, "item_id", "source", "weight", "sales", "est_year", spread=True)
+    laid = BucketedRows.of(rows, ["item_id"], buckets=spark.sparkContext.defaultParallelism)
+    train = split(rows)[0]
+    laid = laid.attach(G.group_stats(rows, ["item_id"], frequency=F.count(F.lit(1)), mean_weight=F.avg("weight")))
+    laid = laid.attach(G.group_mean(train, ["item_id"], "sales", "mean_sales"))
+    laid = laid.attach(G.item_first_year(train, "item_id", "est_year", S.REFERENCE_YEAR, "item_age"))
+    found = laid.rows()
+    return found.select(*K, "item_id", "frequency", near("mean_weight").alias("mean_weight"), near("mean_sales").alias("mean_sales"), F.col("item_age").cast("int").alias("item_age"))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.archive import read_archive, write_archive
+from shelfcast.llm.archive import REVISIT_PROFILE, read_archive, write_archive
 from shelfcast.llm.fingerprints import fingerprints
 from shelfcast.llm.mixing import mix
 from shelfcast.llm.near_texts import near_classes
@@ -108,6 +109,7 @@ def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns, and size and SHA-256 of every record as it is rebuilt from headers and payload."""
     folder = write_archive(_table(spark, sf_dir, "pages"))
     records = read_archive(spark, folder)
     return records.select(
@@ -116,15 +118,42 @@ def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payload_digest",
         "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
+        F.octet_length("record").cast("long").alias("record_bytes"),
+        F.sha2("record", 256).alias("record_sha256"),
     )
 
 
-ORACLES["op5_warc_archive"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS payload_digest,
-    CAST(strlen(coalesce(html, '')) AS bigint) AS payload_bytes FROM pages),
-q AS (SELECT *, max(page_id) OVER (PARTITION BY sha256(body)) AS owner FROM p)
-SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN owner END AS refers_to FROM q"""
+def _one_line_sql(text: str) -> str:
+    codes = (*range(1, 33), 127)
+    clean = reduce(lambda done, code: f"replace({done}, chr({code}), '%{code:02X}')", codes, text)
+    return f"CASE WHEN regexp_matches({text}, '[\x01-\x20\x7F]') THEN {clean} ELSE {text} END"
+
+
+def _record_sql() -> str:
+    """A whole record, line by line."""
+    revisit = "record_type = 'revisit'"
+    lines = [
+        "'WARC/1.1'",
+        "'WARC-Type: ' || record_type",
+        "'WARC-Record-ID: <urn:page:' || page_id || '>'",
+        "'WARC-Date: 2024-01-01T00:00:00Z'",
+        "'WARC-Target-URI: ' || target",
+        "'WARC-Payload-Digest: sha1:' || payload_digest",
+        f"CASE WHEN {revisit} THEN 'WARC-Profile: {REVISIT_PROFILE}' || nl || 'WARC-Refers-To: <urn:page:' || refers_to || '>' || nl ELSE '' END "
+        "|| 'Content-Type: application/http; msgtype=response'",
+        f"'Content-Length: ' || (strlen(http) + CASE WHEN {revisit} THEN 0 ELSE payload_bytes END)",
+    ]
+    return " || nl || ".join(lines) + f" || nl || nl || http || CASE WHEN {revisit} THEN '' ELSE body END || nl || nl"
+
+
+ORACLES["op5_warc_archive"] = f"""WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS payload_digest,
+    CAST(strlen(coalesce(html, '')) AS bigint) AS payload_bytes, chr(13) || chr(10) AS nl FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY sha256(body)) AS owner, {_one_line_sql("url")} AS target,
+    'HTTP/1.1 200 OK' || nl || 'Content-Type: text/html; charset=utf-8' || nl || 'Content-Length: ' || payload_bytes || nl || nl AS http FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN owner END AS refers_to FROM q),
+w AS (SELECT *, {_record_sql()} AS record FROM r)
+SELECT page_id, payload_bytes, payload_digest, record_type, refers_to, CAST(strlen(record) AS bigint) AS record_bytes, sha256(record) AS record_sha256 FROM w"""
 
 
 @_query

@@ -9,6 +9,7 @@ from shelfcast.functions import scalar as S
 from shelfcast.operators import impute as I
 from shelfcast.operators.groupstats import group_stats, mean_of, median_of
 from shelfcast.operators.knn import coded_blocks, fill_knn, neighbours
+from shelfcast.session import materialise
 
 K = ["okey", "line"]
 
@@ -221,7 +222,7 @@ def fill_cold_start(spark, d):
 
 def knn_rows(spark, d):
     """Codes of location and type (alphabetical), outlet age and price, as the neighbours see them."""
-    rows = view(spark, d, *K, "loc", "otype", "est_year", "mrp", "size", spread=True)
+    rows = materialise(view(spark, d, *K, "loc", "otype", "est_year", "mrp", "size", spread=True), "rows").df
     codes = {"l": F.col("l"), "t": F.col("t"), "y": S.age("est_year")}
     return coded_blocks(rows, {"l": "loc", "t": "otype"}), codes
 

@@ -121,22 +121,22 @@ def _distinct_share_of_many(df: DataFrame, key: str, category: str, item: str, o
     )
 
 
-def rollup(cells: DataFrame, sets: Sequence[Sequence[str]], merge: Mapping[str, Column]) -> dict[tuple[str, ...], Table]:
-    """Statistics of several groupings from one aggregation of a cell table, written once.
+def rollup(rows: DataFrame, sets: Sequence[Sequence[str]], merge: Mapping[str, Column]) -> dict[tuple[str, ...], Table]:
+    """Statistics of several groupings from one aggregation, partial before the shuffle, written once.
 
-    ``merge`` holds the aggregates that add cells up. Each grouping comes back as a table of its keys and them, with its
+    ``merge`` holds the aggregates. Each grouping comes back as a table of its keys and them, with its
     measured size; groups of which all keys are null are left out.
     """
     keys = list(dict.fromkeys(k for s in sets for k in s))
-    grouped = cells.groupingSets([[F.col(k) for k in s] for s in sets], *keys)
+    grouped = rows.groupingSets([[F.col(k) for k in s] for s in sets], *keys)
     table = materialise(grouped.agg(F.grouping_id().alias("_set"), *[a.alias(n) for n, a in merge.items()]), "rollup")
     numbers = {tuple(s): sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in s) for s in sets}
-    rows = {r["_set"]: r["count"] for r in table.df.groupBy("_set").count().collect()}
+    sizes = {r["_set"]: r["count"] for r in table.df.groupBy("_set").count().collect()}
     found = {}
     for s, number in numbers.items():
         some = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in s])
         part = table.df.filter((F.col("_set") == number) & some).select(*s, *merge)
-        n = rows.get(number, 0)
+        n = sizes.get(number, 0)
         found[s] = Table(part, n, -(-table.bytes * n // max(table.rows, 1)))
     return found
 

@@ -76,15 +76,37 @@ class Table:
     bytes: int
 
 
+def _fixed_bytes(kind: T.DataType) -> int | None:
+    """Size of a value whose size does not depend on it: 8 bytes, or those of all fields; None for others."""
+    if isinstance(kind, T.StructType):
+        sizes = [_fixed_bytes(f.dataType) for f in kind.fields]
+        return None if None in sizes else 8 + sum(sizes)
+    return None if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)) else 8
+
+
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Estimated size of a value: texts and binaries at their length, arrays, maps and structs by what they hold; null is 0."""
+    fixed = _fixed_bytes(kind)
+    if fixed is not None:
+        return F.lit(fixed).cast("long")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = 8 + F.octet_length(value)
+    elif isinstance(kind, T.StructType):
+        size = sum((_value_bytes(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(8))
+    elif isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        size = _value_bytes(F.map_keys(value), keys) + _value_bytes(F.map_values(value), values)
+    else:
+        inside = _fixed_bytes(kind.elementType)
+        zero = F.lit(0).cast("long")
+        held = F.size(value) * inside if inside else F.aggregate(value, zero, lambda sum_, x: sum_ + _value_bytes(x, kind.elementType))
+        size = 8 + held
+    return F.coalesce(size.cast("long"), F.lit(8).cast("long"))
+
+
 def _row_bytes(schema: T.StructType) -> Column:
-    """Estimated in-memory size of a row: 16 bytes a row, 8 a field, text at its length."""
-    size = F.lit(16 + 8 * len(schema.fields)).cast("long")
-    for field in schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)).cast("long")
-        elif isinstance(field.dataType, T.ArrayType):
-            size = size + F.coalesce(8 * F.size(F.col(field.name)), F.lit(0)).cast("long")
-    return size
+    """Estimated in-memory size of a row: 16 bytes, and its values."""
+    return sum((_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in schema.fields), F.lit(16).cast("long"))
 
 
 def materialise(df: DataFrame, name: str = "stats") -> Table:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,11 @@ from shelfcast.session import Table, materialise
 
 @dataclass(frozen=True)
 class OrderSketch:
-    """Words per window, sketches per text, windows per sketch; the hashes that tell whether to align at all.
+    """Words per window, sketches per text, windows per sketch; the hashes that tell whether to look closer at all.
 
-    Two texts of similarity 0.8 agree in 256 of 320 samples on average, and in fewer than 235 in one case of 700.
-    The first 64 samples settle most pairs: such texts agree there in fewer than 36 in one case of a million.
+    Two texts of similarity 0.8 agree in 256 of 320 samples on average. The first rounds align pairs that agree in ``needed``. The last one,
+    which decides, looks at all that agree in ``enough``, more than seven deviations below the mean, and rules out by an exact bound (``may_reach``).
+    The first 64 samples settle most pairs: such texts agree there in 51 on average, the limit is six deviations below.
     """
 
     words: int = 5
@@ -37,7 +39,8 @@ class OrderSketch:
     sampled: int = 3
     samples: int = 320
     needed: int = 235
-    glance: tuple[int, int] = (64, 36)
+    enough: int = 205
+    glance: tuple[int, int] = (64, 32)
     block: int = 1024
     seed: int = 5
 
@@ -120,32 +123,44 @@ def sketch(words: Words, rule: OrderSketch) -> tuple[np.ndarray, np.ndarray, np.
 def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Most windows of two sequences that can be aligned in order, none further than ``band`` from the diagonal.
 
-    One bit per window of ``b``: a row of the alignment table is a few operations on one long number.
+    A row of the alignment table is one number with a bit per window of ``b``, cleared where the row steps up. Only the
+    ``2 * band + 1`` bits around the diagonal are kept: bits before them cannot change any more and are counted as they
+    leave, bits beyond them are still set. So a step costs the width of the band, whatever the length of the texts.
     """
     low = min(len(a), len(b))
     same = a[:low] != b[:low]
     head = int(np.argmax(same)) if same.any() else low
     a, b = a[head:], b[head:]
     low = min(len(a), len(b))
+    tail = 0
     if low:
         same = a[len(a) - low :][::-1] != b[len(b) - low :][::-1]
         tail = int(np.argmax(same)) if same.any() else low
-    else:
-        tail = 0
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     if not len(a) or not len(b):
         return head + tail
-    places: dict[int, int] = {}
-    for j, y in enumerate(b.tolist()):
-        places[y] = places.get(y, 0) | 1 << j
-    full = (1 << len(b)) - 1
-    row = full
+    other, last = b.tolist(), len(b) - 1
+    places: dict[int, int] = {}  # where each window stands inside the band, as bits from ``base`` on
+    base, row, low, top, found = 0, 0, 0, -1, 0
     for i, x in enumerate(a.tolist()):
-        if match := places.get(x):
-            low = max(0, i - band)
-            u = row & match & (((1 << (i + band + 1 - low)) - 1) << low)
-            row = (row + u | row - u) & full
-    return head + tail + len(b) - row.bit_count()
+        while top < last and top < i + band:
+            top += 1
+            y = other[top]
+            places[y] = places.get(y, 0) | 1 << top - base
+            row |= 1 << top - low
+        if i - band > low:
+            if low > last:
+                break
+            found += 1 - (row & 1)
+            row >>= 1
+            low += 1
+            if low - base > 2 * band + 64:
+                places = {y: kept for y, p in places.items() if (kept := p >> low - base)}
+                base = low
+        if (match := places.get(x)) and (u := row & match >> low - base):
+            row = (row + u | row - u) & (1 << top - low + 1) - 1
+    width = max(0, top - low + 1)
+    return head + tail + found + width - row.bit_count()
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
@@ -161,19 +176,38 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     return found >= threshold * (len(a) + len(b) - found) - 1e-9
 
 
+def window_marks(seq: np.ndarray) -> np.ndarray:
+    """The windows of a sequence as sorted distinct numbers: the hash, and how often it occurred before."""
+    ordered = np.sort(seq).astype(np.uint64)
+    head = np.append(True, ordered[1:] != ordered[:-1]) if len(ordered) else np.zeros(0, bool)
+    at = np.arange(len(ordered))
+    return ordered << np.uint64(32) | (at - np.maximum.accumulate(np.where(head, at, 0))).astype(np.uint64)
+
+
+def may_reach(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Whether two texts (their ``window_marks``) have enough windows in common to be similar, in whatever order.
+
+    Aligned windows are common windows, so a pair that is ruled out here cannot be a link.
+    """
+    need = int(np.ceil(threshold * (len(a) + len(b)) / (1 + threshold) - 1e-9))
+    if min(len(a), len(b)) < need:
+        return False
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum()) >= need
+
+
 def near_classes(
     docs: DataFrame, threshold: float = 0.8, rule: OrderSketch = OrderSketch(), id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Every row of ``docs`` with ``class_id, n_class, n_links, kept``.
+    """Every row of ``docs`` with ``class_id, n_class, kept``.
 
-    class_id is the smallest id among the rows reachable over links; n_class the rows of the class;
-    n_links the links of the row's text to other texts that were aligned (a spanning part of all links: rows already known to be in one class are not
-    aligned again); kept is true for one row of each class, the one with the smallest id (ties by the text's digest; rows
+    class_id is the smallest id among the rows reachable over links; n_class the rows of the class; kept is true for one row of each class, the one with the smallest id (ties by the text's digest; rows
     with equal ids and texts are kept together, see ``one_per_class``). Equal texts are aligned once.
 
     Three rounds find the classes. First every text of a sketch is aligned with the sketch's best-connected text; then, in
     sketches that still hold several classes, with the text of another class that agrees with it in most samples; last, every two
-    texts of different classes that share a sketch and agree in ``needed`` samples are aligned. Large sketches are cut into
+    texts of different classes that share a sketch and have enough windows in common are aligned. Large sketches are cut into
     blocks that meet in pairs, and a pair is taken up in the first sketch that it shares. Only pairs inside a known class are left out.
 
     Null texts and texts without words are in no class: class_id is their own id, and they are kept. A text of fewer words than a window
@@ -181,8 +215,8 @@ def near_classes(
     when the smallest is taken. An empty table gives an empty table; other columns pass through; added names
     that are taken get an underscore.
     """
-    class_id, n_class, n_links, kept = fresh(docs.columns, "class_id", "n_class", "n_links", "kept")
-    (key,) = fresh([*docs.columns, class_id, n_class, n_links, kept], "text_key")
+    class_id, n_class, kept = fresh(docs.columns, "class_id", "n_class", "kept")
+    (key,) = fresh([*docs.columns, class_id, n_class, kept], "text_key")
     own, body = F.col(f"`{id_column}`"), F.col(f"`{text}`")
     narrow = docs.select(own.alias("id"), body.alias("text"))
     copies = narrow.dropna(subset=["text"]).groupBy(F.sha2("text", 256).alias("key")).agg(
@@ -228,6 +262,8 @@ def near_classes(
         mixed = labelled.join(open_sketches, "name").select("name", "sketch", "node", "component", "windows", "texts")
         dealt = block_pairs(mixed, ["name"], "node", rule.block, "texts")
         dealt = dealt.join(nodes.select("node", F.col("names").alias("all_names"), "samples"), "node")
+        if every:
+            dealt = dealt.join(sequences, "node")
         more = map_runs(
             dealt,
             ["name", "block_low", "block_high"],
@@ -243,8 +279,7 @@ def near_classes(
         if new.rows:
             links = Table(links.df.unionByName(new.df), links.rows + new.rows, links.bytes + new.bytes)
             known = components(links.df)
-    degree = links.df.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("linked"))
-    named = nodes.select("key", "node", "least", "copies").join(known, "node", "left").join(degree, "node", "left")
+    named = nodes.select("key", "node", "least", "copies").join(known, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     first = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", "key"))
     sizes = named.groupBy("component").agg(first.alias("head"), F.sum("copies").alias("members"))
@@ -253,7 +288,6 @@ def near_classes(
         F.col("head.least").alias(class_id),
         (F.col("key") == F.col("head.key")).alias(kept),
         F.col("members").alias(n_class),
-        F.coalesce("linked", F.lit(0).cast("long")).alias(n_links),
     )
     out = docs.withColumn(key, F.sha2(body, 256)).join(named, key, "left")
     in_class = F.col(n_class).isNotNull()
@@ -262,7 +296,6 @@ def near_classes(
             kept: ~in_class | (F.col(kept) & own.eqNullSafe(F.col(class_id))),
             class_id: F.when(in_class, F.col(class_id)).otherwise(own),
             n_class: F.coalesce(n_class, F.lit(1).cast("long")),
-            n_links: F.coalesce(n_links, F.lit(0).cast("long")),
         }
     ).drop(key)
 
@@ -310,13 +343,14 @@ def _aligned_links(pairs: Table, sequences: DataFrame, threshold: float) -> Tabl
 def _unlike_classes(table: pa.Table, threshold: float, rule: OrderSketch, every: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of one sketch (or of two blocks of it) that are in different classes and may be similar.
 
-    All of them, or for each text the one that it agrees with most. A pair belongs to the first sketch that it shares.
+    All that the exact bound leaves, or for each text the one that it agrees with most. A pair belongs to the first sketch that it shares.
     """
     node, component, windows = (numbers(table, c) for c in ("node", "component", "windows"))
     own, low, high = (numbers(table, c) for c in ("block_own", "block_low", "block_high"))
     sketch_no = int(numbers(table, "sketch")[0])
     samples = matrix(table, "samples", rule.samples, "<u2")
     names = table.column("all_names").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)[:, :sketch_no]
+    marks = lru_cache(None)(lambda k: window_marks(np.frombuffer(table.column("seq")[k].as_py(), "<u4")))
     for i in range(len(node)):
         rest = slice(i + 1, None) if every else slice(None)
         maybe = component[rest] != component[i]
@@ -335,7 +369,9 @@ def _unlike_classes(table: pa.Table, threshold: float, rule: OrderSketch, every:
         agree = (samples[j] == samples[i]).sum(axis=1)
         if not every:
             j, agree = j[[agree.argmax()]], agree[[agree.argmax()]]
-        j = j[agree >= rule.needed]
+        j = j[agree >= (rule.enough if every else rule.needed)]
+        if every:
+            j = j[[may_reach(marks(i), marks(k), threshold) for k in j.tolist()]] if len(j) else j
         if len(j):
             a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])

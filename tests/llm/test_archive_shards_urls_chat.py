@@ -1,13 +1,16 @@
 """WARC archive, bounded ring, filter cascade and perspectives."""
 
 import hashlib
+import math
 import os
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 from glob import glob
 
 import pytest
+import xxhash
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -92,6 +95,47 @@ def test_shards_have_near_equal_bytes(spark):
     assert max(loads) < 1.02 * mean and min(loads) > 0.9 * mean
 
 
+def test_placement_is_that_of_a_walk_round_the_ring(spark):
+    rng, ring = random.Random(4), Ring(shards=5, nodes=16, bits=8)
+    docs = [(i, "x" * rng.choice([rng.randrange(400), rng.randrange(400), 60_000 + i])) for i in range(1500)]
+    got = {r["doc_id"]: r["shard"] for r in shard_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), ring).collect()}
+    place = lambda i: xxhash.xxh64(i.to_bytes(8, "little"), xxhash.xxh64((8).to_bytes(4, "little"), 42).intdigest()).intdigest() >> 56
+    taken = {}
+    for shard in range(5):
+        for k in range(16):
+            p = int.from_bytes(hashlib.blake2b(f"{shard}:{k}".encode(), digest_size=8).digest(), "big") % 256
+            while p in taken:
+                p = (p + 1) % 256
+            taken[p] = shard
+    size = {i: len(t) + 8 for i, t in docs}
+    total = sum(size.values())
+    bound, least, loads = math.ceil(total * 1.002 / 5), int(total * 0.01 / 5) + 1, [0] * 5
+
+    def walk(at):
+        return list(dict.fromkeys(taken[(at + d) % 256] for d in range(256) if (at + d) % 256 in taken))
+
+    for i in sorted((i for i in size if size[i] >= least), key=lambda i: (-size[i], place(i))):
+        fits = [s for s in walk(place(i)) if loads[s] + size[i] <= bound]
+        shard = fits[0] if fits else min(walk(place(i)), key=loads.__getitem__)
+        loads[shard] += size[i]
+        assert got[i] == shard
+    small, home = defaultdict(list), 0
+    for i in size:
+        if size[i] < least:
+            small[place(i)].append(i)
+    for p in sorted(small):
+        left, shards = sum(size[i] for i in small[p]), []
+        for s in walk(p):
+            part = min(left, max(0, bound - loads[s]))
+            if part:
+                shards.append(s)
+                loads[s] += part
+                left -= part
+        assert {got[i] for i in small[p]} <= set(shards) and (len(shards) > 1 or not left)
+        home += shards[0] == walk(p)[0]
+    assert home > 0.5 * len(small)
+
+
 def test_one_id_with_most_rows_is_spread(spark):
     rows = [(7, "same text")] * 3000 + [(None, "x" * (i % 50)) for i in range(2000)] + [(i, "y" * (i % 90)) for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)

@@ -1,7 +1,9 @@
 """Pfair mixing and mixture-controlled packing."""
 
+import math
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +13,7 @@ from tokenizers import Tokenizer
 
 from shelfcast.llm.mixing import Timetable, earliest_deadline_first, in_order, mix, period_shares, windows
 from shelfcast.llm.packing import UNITS, Groups, Schedule, Tokens, pack, with_checksum
+from shelfcast.llm.queries import QUERIES
 from shelfcast.llm.queues import offsets
 
 
@@ -229,3 +232,38 @@ def test_mixing_and_packing_keep_every_source_apart(spark):
     pieces = pack(docs).collect()
     assert {r["source_queue"] for r in pieces} == set(range(600))
     assert sum(r["length"] for r in pieces) == sum(r["doc_tokens"] for r in pieces if r["start"] == 0)
+
+
+def brute_pfair(blocks, weights):
+    """Slot, release and deadline of every (queue, block), slot by slot in exact fractions."""
+    weights = [Fraction(w) for w in weights]
+
+    def reached(q, x):
+        """Slots gone when queue q has had x blocks of the flow."""
+        v = x / weights[q]
+        return sum((min(Fraction(n), w * v) for n, w in zip(blocks, weights, strict=True) if n), Fraction(0))
+
+    given, out = [0] * len(blocks), {}
+    for slot in range(sum(blocks)):
+        ready = []
+        for q, i in enumerate(given):
+            if i < blocks[q] and math.floor(reached(q, i)) <= slot:
+                ready.append((math.ceil(reached(q, i + 1)), q, i))
+        deadline, q, i = min(ready)
+        out[q, i] = (math.floor(reached(q, i)), deadline, slot)
+        given[q] += 1
+    return out
+
+
+def test_mixing_query_is_that_of_the_slot_by_slot_loop(spark, tiny):
+    rows = QUERIES["op4_pfair_mixing"](spark, tiny).collect()
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").select("source").collect()
+    sizes = Counter(r["source"] or None for r in docs)
+    names = [*sorted(n for n in sizes if n), None]
+    want = brute_pfair([-(-sizes[n] // 16) for n in names], [float(sizes[n]) ** 0.5 if sizes[n] else 1.0 for n in names])
+    assert len(rows) == len(docs) and {(names.index(r["queue"]), r["block"]) for r in rows} == set(want)
+    for r in rows:
+        assert (r["release"], r["deadline"], r["slot"]) == want[names.index(r["queue"]), r["block"]]
+    places = sorted((r["slot"], r["block_offset"]) for r in rows)
+    assert len(set(places)) == len(places)
+    assert all(Counter(r["queue"] for r in rows)[n] == k for n, k in sizes.items())

@@ -2,7 +2,8 @@
 
 import random
 import re
-from collections import defaultdict
+import time
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.llm.graph import components
-from shelfcast.llm.near_texts import OrderSketch, aligned, near_classes, occurrence, one_per_class, similar, sketch
+from shelfcast.llm.near_texts import OrderSketch, aligned, may_reach, near_classes, occurrence, one_per_class, similar, sketch, window_marks
 from shelfcast.llm.near_vectors import Lattice, cells, near_links, nearest_e8, roots
 from shelfcast.llm.text import Texts, Words
 
@@ -153,6 +154,62 @@ def test_banded_alignment_is_the_longest_common_subsequence():
             assert similar(x, y, t) == want
 
 
+def banded_lcs(a, b, band):
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a):
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y and abs(i - j) <= band else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_band_is_that_of_the_table():
+    rng = random.Random(3)
+    for _ in range(300):
+        kinds = rng.choice([3, 9, 60])
+        a = [rng.randrange(kinds) for _ in range(rng.randrange(1, 45))]
+        b = [x for x in a if rng.random() < 0.9] + [rng.randrange(kinds) for _ in range(rng.randrange(6))]
+        a[0], b[:0] = 100, [101]  # no common head, and below no common tail
+        band = rng.randrange(8)
+        assert aligned(np.array([*a, 102], np.uint32), np.array([*b, 103], np.uint32), band) == banded_lcs([*a, 102], [*b, 103], band)
+
+
+def test_a_narrow_band_costs_its_width():
+    a = np.random.default_rng(0).integers(0, 1 << 32, 160_000, dtype=np.uint32)
+    b = np.delete(a, [7, 80_000])
+    b[::20_000] += 1
+    start = time.process_time()
+    assert aligned(a, b, 10) >= 159_900
+    assert time.process_time() - start < 1.0  # about 0.2 s on an idle machine; seconds if the whole row were carried
+
+
+def test_common_windows_are_never_fewer_than_the_aligned_ones():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        a = rng.integers(0, rng.choice([4, 30, 1000]), rng.integers(0, 40)).astype(np.uint32)
+        b = np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 1000, rng.integers(0, 4)).astype(np.uint32)])
+        marks = window_marks(a), window_marks(b)
+        common = sum((Counter(a.tolist()) & Counter(b.tolist())).values())
+        for threshold in (0.5, 0.8):
+            assert may_reach(*marks, threshold) == (common >= np.ceil(threshold * (len(a) + len(b)) / (1 + threshold) - 1e-9))
+            assert may_reach(*marks, threshold) or not similar(a, b, threshold)
+
+
+def test_every_pair_at_the_threshold_is_found(spark):
+    """5,000 pairs of 333 windows of which 296 are common and in order: similarity 296 / 370, exactly 0.8."""
+    rng, rows = np.random.default_rng(7), []
+    for k in range(5000):
+        words = rng.integers(0, 10**9, 370)
+        other = words[:337].copy()
+        at = rng.integers(4, 300)
+        other[at : at + 33] = words[337:]
+        rows += [(2 * k, " ".join(f"{w:x}" for w in words[:337])), (2 * k + 1, " ".join(f"{w:x}" for w in other))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    missed = near_classes(frame).filter("class_id <> doc_id - doc_id % 2").count()
+    assert missed == 0
+
+
 def test_occurrences_and_order_tell_texts_apart():
     assert occurrence(np.array([5, 5, 5, 7, 5], np.uint64), np.array([0, 0, 1, 1, 1])).tolist() == [0, 1, 0, 0, 1]
     words = [f"w{i}" for i in range(60)]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -63,8 +65,37 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_OPEN_SCOPES: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for scope in _OPEN_SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def written_here() -> Iterator[list[str]]:
+    """The paths that are handed out inside the ``with`` block, in order.
+
+    Intermediate tables stay until they are discarded, because results read them lazily. Once a result is itself
+    written, what was written on the way to it can go: ``discard`` it.
+    """
+    made: list[str] = []
+    _OPEN_SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _OPEN_SCOPES[:] = [s for s in _OPEN_SCOPES if s is not made]
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Deletes written tables by their paths, in whatever file system they are."""
+    context = spark.sparkContext
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @dataclass(frozen=True)

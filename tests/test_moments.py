@@ -137,6 +137,12 @@ def test_staged_errors_on_another_scale_are_those_of_shorter_models(table, spark
     assert M._held_out_curve(model, logs, M.OriginalScaleRmse()) == curve
 
 
+def test_evaluator_undoes_the_logarithm(spark):
+    rows = spark.createDataFrame([(math.log1p(3.0), math.log1p(5.0)), (math.log1p(10.0), math.log1p(9.0)), (0.0, 0.0)], "label double, prediction double")
+    evaluator = M.OriginalScaleRmse()
+    assert evaluator.evaluate(rows) == pytest.approx(math.sqrt((4 + 1 + 0) / 3)) and not evaluator.isLargerBetter()
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_bounded_search_chooses_as_the_full_loop(seed):
     r = np.random.default_rng(seed)

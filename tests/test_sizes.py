@@ -1,9 +1,11 @@
-"""The measured size of written tables, on which the choice between broadcast and shuffle rests."""
+"""The measured size of written tables, on which the choice between broadcast and shuffle rests, and their end."""
+
+import os
 
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import attach
-from shelfcast.session import materialise
+from shelfcast.session import discard, materialise, written_here
 
 
 def test_nested_texts_count_at_their_length(spark):
@@ -22,3 +24,16 @@ def test_wide_values_are_not_broadcast(spark):
     joined = attach(spark.range(200).withColumnRenamed("id", "k"), stats, ["k"])
     assert "Broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString().replace("broadcast=false", "")
     assert joined.filter("v IS NOT NULL").count() == 100
+
+
+def test_tables_written_in_a_block_are_known_and_can_go(spark):
+    with written_here() as outer:
+        first = materialise(spark.range(5), "first")
+        with written_here() as inner:
+            second = materialise(first.df.filter("id > 2"), "second")
+    materialise(spark.range(1), "after")
+    assert [os.path.basename(p).split("-")[0] for p in outer] == ["first", "second"] and inner == outer[1:]
+    discard(spark, outer[:1])
+    local = [p.removeprefix("file:") for p in outer]
+    assert not os.path.exists(local[0]) and os.path.exists(local[1]) and second.df.count() == 2
+    discard(spark, outer[:1])  # once more does nothing

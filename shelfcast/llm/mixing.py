@@ -27,35 +27,6 @@ from shelfcast.session import materialise
 PERIOD = 4096
 
 
-def period_shares(weights: list[float], period: int = PERIOD) -> list[int]:
-    """Weights as whole slots of a period that repeats, at least one where positive; mix() does not round its weights so."""
-    if not any(w > 0 for w in weights):
-        raise ValueError("no queue has a positive weight")
-    if sum(w > 0 for w in weights) > period:
-        raise ValueError("more queues than slots in a period")
-    total = float(sum(weights))
-    shares = [max(1, int(w / total * period)) if w > 0 else 0 for w in weights]
-    by_need = sorted((q for q in range(len(weights)) if weights[q] > 0), key=lambda q: shares[q] / period - weights[q] / total)
-    at = 0
-    while (gap := period - sum(shares)) != 0:
-        q = by_need[at % len(by_need)] if gap > 0 else by_need[-1 - at % len(by_need)]
-        if gap > 0 or shares[q] > 1:
-            shares[q] += 1 if gap > 0 else -1
-        at += 1
-    return shares
-
-
-def windows(block: int, share: int, period: int) -> tuple[int, int]:
-    """Release slot and deadline of a block: it has to run in release <= slot < deadline."""
-    return block * period // share, -(-(block + 1) * period // share)
-
-
-def earliest_deadline_first(shares: list[int], period: int) -> list[np.ndarray]:
-    """Slots of each queue's blocks where all queues last to the end of the period."""
-    order = np.fromiter(Flow(shares, shares).serve([0] * len(shares), 0), np.int64, period)
-    return [np.flatnonzero(order == q) for q in range(len(shares))]
-
-
 class Flow:
     """Blocks that flow at their weights, in exact integers; a used-up queue leaves and the rest share its slots.
 

@@ -11,25 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfcast.llm.mixing import Timetable, earliest_deadline_first, in_order, mix, period_shares, windows
+from shelfcast.llm.mixing import Timetable, in_order, mix
 from shelfcast.llm.packing import UNITS, Groups, Schedule, Tokens, pack, with_checksum
 from shelfcast.llm.queries import QUERIES
 from shelfcast.llm.queues import offsets
 
 
-@pytest.mark.parametrize("weights", [[1.0], [0.5, 0.25, 0.25], [0.36] + [0.64 / 19] * 19, [7.0, 3.0, 0.001]])
-def test_every_block_meets_its_deadline_and_lag_stays_below_one(weights):
-    shares = period_shares(weights, 512)
-    slots = earliest_deadline_first(shares, 512)
-    assert sum(shares) == 512 and sorted(np.concatenate(slots).tolist()) == list(range(512))
-    for own, n in zip(slots, shares, strict=True):
-        for i, slot in enumerate(own.tolist()):
-            release, deadline = windows(i, n, 512)
-            assert release <= slot < deadline
-        t = np.arange(513)
-        assert np.abs(np.searchsorted(own, t) - t * n / 512).max() < 1
-
-
 def test_used_up_sources_leave_and_slots_have_no_gaps():
     blocks = [50, 7, 0, 21]
     table = Timetable(blocks, [5.0, 2.0, 1.0, 1.0], 64)

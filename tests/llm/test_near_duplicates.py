@@ -196,8 +196,11 @@ def test_common_windows_are_never_fewer_than_the_aligned_ones():
             assert may_reach(*marks, threshold) or not similar(a, b, threshold)
 
 
-def test_every_pair_at_the_threshold_is_found(spark):
-    """5,000 pairs of 333 windows of which 296 are common and in order: similarity 296 / 370, exactly 0.8."""
+def test_every_pair_at_the_threshold_that_shares_a_sketch_is_found(spark):
+    """5,000 pairs of 333 windows of which 296 are common and in order: similarity 296 / 370, exactly 0.8.
+
+    Such a pair misses all sketches in one case of 100,000 by arithmetic, here once.
+    """
     rng, rows = np.random.default_rng(7), []
     for k in range(5000):
         words = rng.integers(0, 10**9, 370)
@@ -206,8 +209,12 @@ def test_every_pair_at_the_threshold_is_found(spark):
         other[at : at + 33] = words[337:]
         rows += [(2 * k, " ".join(f"{w:x}" for w in words[:337])), (2 * k + 1, " ".join(f"{w:x}" for w in other))]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
-    missed = near_classes(frame).filter("class_id <> doc_id - doc_id % 2").count()
-    assert missed == 0
+    missed = {r["doc_id"] // 2 for r in near_classes(frame).filter("class_id <> doc_id - doc_id % 2").collect()}
+    apart = set()
+    for at in range(0, len(rows), 500):
+        names, _, _ = sketch(Words(Texts(pa.array([t for _, t in rows[at : at + 500]]))), OrderSketch())
+        apart |= {at // 2 + int(k) for k in np.flatnonzero(~(names[::2] == names[1::2]).any(axis=1))}
+    assert missed == apart and len(apart) <= 1
 
 
 def test_occurrences_and_order_tell_texts_apart():

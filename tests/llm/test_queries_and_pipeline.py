@@ -15,6 +15,7 @@ import __spark_entry__ as entry_module
 import corpus_pipeline
 from shelfcast.llm.queries import ORACLES, QUERIES
 from shelfcast.llm.queues import in_written_order, stream_weights
+from shelfcast.session import written_here
 from tests.llm.conftest import story
 from tests.llm.test_mixing_and_packing import brute_ids
 from tests.llm.test_rules_and_model import brute
@@ -97,7 +98,10 @@ def brute_pipeline(spark, sf_dir):
 
 def test_pipeline_matches_brute_force(spark, tiny):
     want = brute_pipeline(spark, tiny)
-    rows = corpus_pipeline.run(spark, tiny).collect()
+    with written_here() as made:
+        rows = corpus_pipeline.run(spark, tiny).collect()
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in made if os.path.exists(p.removeprefix("file:"))}
+    assert "mixing-sources-to-target-weights" in left and not left & {"quality-rules", "sketches", "mixing-rows", "MinHash-near-dedup"}
     assert {r["doc_id"] for r in rows} == set(want)
     whole = defaultdict(dict)
     for r in rows:

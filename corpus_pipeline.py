@@ -15,7 +15,7 @@ from shelfcast.llm.quality_model import score, train
 from shelfcast.llm.quality_rules import repetition
 from shelfcast.llm.queries import TEMPERATURE
 from shelfcast.llm.queues import fresh, in_written_order, stream_weights
-from shelfcast.session import materialise, tune
+from shelfcast.session import discard, materialise, tune, written_here
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -103,8 +103,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written before the next one reads them."""
-    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents; each stage's rows are written before the next one reads them.
+
+    What a stage has written on the way, and the rows of the stage before, are deleted as soon as its own rows are written. The
+    intermediate tables of the last stage stay, since its result reads them.
+    """
+    docs, before = tune(spark).read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-")).df
+        with written_here() as made:
+            docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-")).df
+        discard(spark, [*made[:-1], *before])  # the last path is that of the stage's rows
+        before = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -84,27 +84,45 @@ def fill_visibility_cascade(spark, d):
     return filled.select(*K, "source", near("visibility", 6).alias("visibility"))
 
 
+def mode_steps(size: str) -> tuple[str, str]:
+    """The most frequent value of a size column per (location, type)."""
+    return (
+        f"{size}_n AS (SELECT loc, otype, {size} AS v, count(*) AS n FROM b WHERE {size} IS NOT NULL GROUP BY loc, otype, {size})",
+        f"""{size}_m AS (SELECT loc, otype, v AS m FROM (
+      SELECT *, row_number() OVER (PARTITION BY loc, otype ORDER BY n DESC, v) AS k FROM {size}_n) WHERE k = 1)""",
+    )
+
+
+# The sizes as they are, and without those of one (location, type) group, so that the fallbacks have work to do.
 MODE_SQL = (
-    """bc AS (SELECT loc, otype, size, count(*) AS n FROM rv WHERE size IS NOT NULL GROUP BY loc, otype, size)""",
-    """bm AS (SELECT loc, otype, size AS m FROM (
-      SELECT *, row_number() OVER (PARTITION BY loc, otype ORDER BY n DESC, size) AS k FROM bc) WHERE k = 1)""",
-    "bf AS (SELECT b.okey, b.line, coalesce(b.size, m) AS s FROM rv b LEFT JOIN bm ON b.loc = bm.loc AND b.otype = bm.otype)",
-    """bg AS (SELECT s AS g FROM bf WHERE s IS NOT NULL GROUP BY s ORDER BY count(*) DESC, s LIMIT 1)""",
+    "b AS (SELECT okey, line, loc, otype, size, CASE WHEN loc = 'Tier 1' AND otype = 'Grocery Store' THEN NULL ELSE size END AS gaps FROM rv)",
+    *mode_steps("size"),
+    *mode_steps("gaps"),
+    """bf AS (SELECT b.okey, b.line, coalesce(b.size, s.m) AS s, coalesce(b.gaps, g.m) AS g FROM b
+      LEFT JOIN size_m s ON b.loc = s.loc AND b.otype = s.otype LEFT JOIN gaps_m g ON b.loc = g.loc AND b.otype = g.otype)""",
+    "sg AS (SELECT s AS v FROM bf WHERE s IS NOT NULL GROUP BY s ORDER BY count(*) DESC, s LIMIT 1)",
+    "gg AS (SELECT g AS v FROM bf WHERE g IS NOT NULL GROUP BY g ORDER BY count(*) DESC, g LIMIT 1)",
 )
 
 
 @query(
     "fill_group_mode",
     check(
-        "SELECT okey, line, coalesce(s, (SELECT g FROM bg)) AS size, coalesce(s, 'Medium') AS size_medium FROM bf",
+        "SELECT okey, line, coalesce(s, (SELECT v FROM sg)) AS size, coalesce(s, 'Medium') AS size_medium, "
+        "coalesce(g, (SELECT v FROM gg)) AS gaps, coalesce(g, 'Medium') AS gaps_medium FROM bf",
         *MODE_SQL,
     ),
 )
 def fill_group_mode(spark, d):
-    rows = view(spark, d, *K, "loc", "otype", "size").withColumn("size_medium", F.col("size"))
-    rows = I.fill_group_mode(rows, ["loc", "otype"], "size")
-    rows = I.fill_group_mode(rows, ["loc", "otype"], "size_medium", default="Medium")
-    return rows.select(*K, "size", "size_medium")
+    """The sizes, and the same without those of one group: no group of the tables lacks all its sizes."""
+    rows = view(spark, d, *K, "loc", "otype", "size")
+    blank = (F.col("loc") == "Tier 1") & (F.col("otype") == "Grocery Store")
+    rows = rows.withColumn("gaps", F.when(blank, None).otherwise(F.col("size")))
+    rows = rows.withColumns({"size_medium": F.col("size"), "gaps_medium": F.col("gaps")})
+    filled = rows
+    for value, default in (("size", None), ("size_medium", "Medium"), ("gaps", None), ("gaps_medium", "Medium")):
+        filled = I.fill_group_mode(filled, ["loc", "otype"], value, default, fit_on=rows)
+    return filled.select(*K, "size", "size_medium", "gaps", "gaps_medium")
 
 
 @query("fill_cluster_mode")

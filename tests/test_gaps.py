@@ -1,11 +1,13 @@
 """The last steps of the fills have rows to fill in the registered queries, beside the tables as they are."""
 
 import os
-from collections import Counter
+from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfcast import catalog
+from shelfcast.sources.retail_view import retail_view
 
 
 def test_group_mode_fills_a_group_without_any_size(spark, sf_dir, tmp_path):
@@ -16,3 +18,18 @@ def test_group_mode_fills_a_group_without_any_size(spark, sf_dir, tmp_path):
     os.symlink(f"{sf_dir}/lineitem.parquet", tmp_path / "lineitem.parquet")
     found = catalog.QUERIES["fill_group_mode"](spark, str(tmp_path)).select("size", "size_medium", "gaps", "gaps_medium").collect()
     assert Counter(map(tuple, found)) == {("Small", "Small", "High", "Medium"): 1133, ("High", "High", "High", "High"): 4867}
+
+
+def test_zero_cascade_fills_nulls(spark, sf_dir):
+    """Every 11th order is blanked and takes the mean of what its outlet has left."""
+    view = retail_view(spark, sf_dir, "okey", "line", "outlet_id", "visibility")
+    outlets = defaultdict(list)
+    for r in view.filter("okey % 11 <> 0").collect():
+        outlets[r["outlet_id"]].append(r["visibility"])
+    means = {k: sum(v) / len(v) for k, v in outlets.items()}
+    blanked = sorted((r["okey"], r["line"], means[r["outlet_id"]]) for r in view.filter("okey % 11 = 0").collect())
+    found = catalog.QUERIES["repair_zero_cascade"](spark, sf_dir).select("okey", "line", "gaps", "visibility").collect()
+    got = sorted(tuple(r)[:3] for r in found if r["okey"] % 11 == 0)
+    assert len(found) == 6000 and len(got) == 575
+    assert [g[2] for g in got] == pytest.approx([b[2] for b in blanked], abs=1e-6)
+    assert not any(r["visibility"] is None or r["visibility"] == 0 for r in found)

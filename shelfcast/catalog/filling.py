@@ -197,13 +197,16 @@ def repair_zero_cascade(spark, d):
 @query(
     "fill_leftover_train_mean",
     check(
-        f"SELECT okey, line, source, {near_sql('coalesce(weight, (SELECT avg(weight) FROM train))')} AS weight, mrp FROM rv"
+        f"SELECT okey, line, source, {near_sql('coalesce(weight, (SELECT avg(weight) FROM train))')} AS weight, mrp, "
+        "CASE WHEN source = 'test' AND okey % 3 = 0 THEN NULL ELSE mrp END AS gaps FROM rv"
     ),
 )
 def fill_leftover_train_mean(spark, d):
-    """The price has no gaps on the train side and is left alone."""
+    """The price has no gaps; with gaps on the test side alone it is left alone as well."""
     rows = view(spark, d, *K, "source", "weight", "mrp")
-    filled = I.fill_train_means(rows.filter("source = 'train'"), rows, ["weight", "mrp"])
+    blank = (F.col("source") == "test") & (F.col("okey") % 3 == 0)
+    rows = rows.withColumn("gaps", F.when(blank, None).otherwise(F.col("mrp")))
+    filled = I.fill_train_means(rows.filter("source = 'train'"), rows, ["weight", "mrp", "gaps"])
     return filled.withColumn("weight", near("weight"))
 
 

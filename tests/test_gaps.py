@@ -33,3 +33,12 @@ def test_zero_cascade_fills_nulls(spark, sf_dir):
     assert len(found) == 6000 and len(got) == 575
     assert [g[2] for g in got] == pytest.approx([b[2] for b in blanked], abs=1e-6)
     assert not any(r["visibility"] is None or r["visibility"] == 0 for r in found)
+
+
+def test_price_gaps_of_the_test_side_stay(spark, sf_dir):
+    """The weight has gaps among the train rows and is filled everywhere; the price has them in test rows alone."""
+    found = catalog.QUERIES["fill_leftover_train_mean"](spark, sf_dir).collect()
+    empty = [r for r in found if r["gaps"] is None]
+    assert len(found) == 6000 and empty and all(r["source"] == "test" and r["okey"] % 3 == 0 for r in empty)
+    assert len(empty) == sum(r["source"] == "test" and r["okey"] % 3 == 0 for r in found)
+    assert all(r["gaps"] in (None, r["mrp"]) and r["mrp"] is not None and r["weight"] is not None for r in found)
